@@ -110,3 +110,78 @@ def paid_lines(orders: DataFrame, lines: DataFrame, hot_rows: int = HOT_ROWS) ->
     return allocate_in_windows(join_lines(orders, few)).unionByName(
         allocate_by_sums(join_lines(F.broadcast(hot_orders), many))
     )
+
+
+# --- running sums -----------------------------------------------------------------
+
+_MAX_RANGES = 1024
+
+
+def _sums_before(rows: DataFrame, keys: list[str], order: str, prefix: str = "") -> DataFrame:
+    before = (
+        W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow - 1)
+    )
+    return rows.withColumns(
+        {
+            f"{prefix}{name}": F.coalesce(F.sum(f"_{name}").over(before), F.lit(0))
+            for name in ("origin", "split")
+        }
+    )
+
+
+def _cut_into_ranges(rows: DataFrame, hot_rows: int) -> DataFrame:
+    """Adds ``_range``: the lines of each hot order cut into runs of line ids.
+
+    The cuts are line ids picked by their hash, about one per ``hot_rows / 4``
+    lines and 1024 per order at most, so they depend on the data only and a task
+    that is run again cuts the same. There are about four cuts per ``hot_rows``
+    lines of the table, which bounds the broadcast.
+    """
+    sizes = rows.groupBy(_ORDER).agg(F.count(F.lit(1)).alias("_lines"))
+    step = F.greatest(
+        F.ceil(F.col("_lines") / F.lit(_MAX_RANGES)), F.lit(max(hot_rows // 4, 1))
+    )
+    picked = rows.select(_ORDER, _LINE).join(F.broadcast(sizes), _ORDER).filter(
+        F.pmod(F.xxhash64(_LINE), step) == 0
+    )
+    cuts = picked.groupBy(_ORDER).agg(F.collect_set(_LINE).alias("_cuts"))
+    passed = F.filter("_cuts", lambda cut: cut <= F.col(_LINE))
+    return (
+        rows.join(F.broadcast(cuts), _ORDER, "left")
+        .withColumn("_range", F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(passed)))
+        .drop("_cuts")
+    )
+
+
+def running_sums(
+    paid: DataFrame, hot: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Adds ``origin_before`` and ``split_before`` to allocated lines.
+
+    These are the order's line amounts and shares over the lines before this
+    one, by line id: the two sums an allocation that meets the lines one by one
+    would carry. A hot order is cut into ranges of line ids; sums over whole
+    ranges are added to the running sums inside each.
+    """
+    hot = hot_keys(paid, [_ORDER], hot_rows) if hot is None else hot
+    amounts = paid.withColumns(
+        {"_origin": line_cents(), "_split": to_cents(F.col("final_detail_amount"))}
+    )
+    few, many = split_hot(amounts, hot, [_ORDER])
+    ordinary = _sums_before(few, [_ORDER], _LINE, "_before_")
+
+    ranged = _cut_into_ranges(many, hot_rows)
+    range_sums = ranged.groupBy(_ORDER, "_range").agg(
+        F.sum("_origin").alias("_origin"), F.sum("_split").alias("_split")
+    )
+    earlier = _sums_before(range_sums, [_ORDER], "_range", "_base_").drop("_origin", "_split")
+    inside = _sums_before(ranged, [_ORDER, "_range"], _LINE, "_in_")
+    crowded = inside.join(earlier, [_ORDER, "_range"]).withColumns(
+        {f"_before_{n}": F.col(f"_base_{n}") + F.col(f"_in_{n}") for n in ("origin", "split")}
+    )
+    output = [
+        *paid.columns,
+        from_cents(F.col("_before_origin")).alias("origin_before"),
+        from_cents(F.col("_before_split")).alias("split_before"),
+    ]
+    return ordinary.select(*output).unionByName(crowded.select(*output))

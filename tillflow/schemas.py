@@ -1,17 +1,40 @@
 """Record schemas at the edges of the library (messages, tables, reports)."""
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
 
+_TYPES = {
+    "string": StringType(),
+    "bigint": LongType(),
+    "int": IntegerType(),
+    "double": DoubleType(),
+    "timestamp": TimestampType(),
+    "amount": DecimalType(38, 2),
+}
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
 
+def _schema(fields: str) -> StructType:
+    """``"name type, name type"`` to a schema, without needing a session."""
+    pairs = (field.split() for field in fields.split(","))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
 
-TOPIC_MESSAGE = _schema("topic string, key string, value string")
 
-APP_LOG = _schema(
-    "common struct<mid: string, uid: string, ar: string, ch: string, vc: string>, "
-    "start string, ts bigint"
+COMMON = _schema("mid string, uid string, ar string, ch string, vc string")
+APP_LOG = StructType(
+    [
+        StructField("common", COMMON),
+        StructField("start", StringType()),
+        StructField("ts", LongType()),
+    ]
 )
 
 ORDER_INFO = _schema(
@@ -74,5 +97,5 @@ SKU_INFO = _schema(
 USER_STATE = _schema("user_id string, if_consumed string")
 
 TRADEMARK_STAT = _schema(
-    "stat_time timestamp, trademark_id string, trademark_name string, amount decimal(38,2)"
+    "stat_time timestamp, trademark_id string, trademark_name string, amount amount"
 )
