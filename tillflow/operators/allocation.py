@@ -19,6 +19,7 @@ from tillflow.operators.wide import join_lines
 
 _ORDER = "order_id"
 _LINE = "order_detail_id"
+_FINAL = "final_detail_amount"
 
 
 def line_cents() -> Column:
@@ -30,26 +31,29 @@ def paid_cents() -> Column:
     return to_cents(F.col("final_total_amount"))
 
 
-def _last_takes_rest(is_last: Column, share: Column, share_sum: Column) -> Column:
-    rest = paid_cents() - (F.coalesce(share_sum, F.lit(0)) - F.coalesce(share, F.lit(0)))
-    return from_cents(F.when(is_last, rest).otherwise(share))
+def _with_share(
+    rows: DataFrame, is_last: Column, share_sum: Column, columns: list[str]
+) -> DataFrame:
+    """Rows with their ``_share``, or what all others leave of the paid amount for the last."""
+    share, none = F.col("_share"), F.lit(0)
+    rest = paid_cents() - (F.coalesce(share_sum, none) - F.coalesce(share, none))
+    final = from_cents(F.when(is_last, rest).otherwise(share)).alias(_FINAL)
+    return rows.select(*[final if c == _FINAL else F.col(c) for c in columns])
 
 
 def allocate_in_windows(wide: DataFrame) -> DataFrame:
     """Shares by windows over each order: one shuffle, shared with the join before it."""
     order = W.partitionBy(_ORDER).orderBy(_LINE)
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return (
-        wide.withColumn("_amount", line_cents())
-        .withColumn("_sum", F.sum("_amount").over(whole))
-        .withColumn("_share", share_cents(F.col("_amount"), F.col("_sum"), paid_cents()))
-        .withColumn("_share_sum", F.sum("_share").over(whole))
-        .withColumn("_next", F.lead(F.lit(True)).over(order))
-        .withColumn(
-            "final_detail_amount",
-            _last_takes_rest(F.col("_next").isNull(), F.col("_share"), F.col("_share_sum")),
-        )
-        .drop("_amount", "_sum", "_share", "_share_sum", "_next")
+    amount, share = F.col("_amount"), F.col("_share")
+    summed = wide.select("*", line_cents().alias("_amount")).select(
+        "*", share_cents(amount, F.sum(amount).over(whole), paid_cents()).alias("_share")
+    )
+    return _with_share(
+        summed,
+        is_last=F.lead(F.lit(True)).over(order).isNull(),
+        share_sum=F.sum(share).over(whole),
+        columns=wide.columns,
     )
 
 
@@ -67,15 +71,11 @@ def allocate_by_sums(wide: DataFrame) -> DataFrame:
         "_share", share_cents(F.col("_amount"), F.col("_sum"), paid_cents())
     )
     share_sums = shared.groupBy(_ORDER).agg(F.sum("_share").alias("_share_sum"))
-    return (
-        shared.join(F.broadcast(share_sums), _ORDER)
-        .withColumn(
-            "final_detail_amount",
-            _last_takes_rest(
-                F.col(_LINE) == F.col("_last"), F.col("_share"), F.col("_share_sum")
-            ),
-        )
-        .select(*wide.columns)
+    return _with_share(
+        shared.join(F.broadcast(share_sums), _ORDER),
+        is_last=F.col(_LINE) == F.col("_last"),
+        share_sum=F.col("_share_sum"),
+        columns=wide.columns,
     )
 
 
@@ -90,9 +90,7 @@ def allocate(
     """
     hot = hot_keys(wide, [_ORDER], hot_rows) if hot is None else hot
     few, many = split_hot(wide, hot, [_ORDER])
-    return allocate_in_windows(few.select(*wide.columns)).unionByName(
-        allocate_by_sums(many.select(*wide.columns))
-    )
+    return allocate_in_windows(few).unionByName(allocate_by_sums(many))
 
 
 def paid_lines(orders: DataFrame, lines: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

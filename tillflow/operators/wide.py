@@ -6,6 +6,7 @@ column that an input lacks comes out as NULL.
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillflow import schemas
 from tillflow.operators.skew import HOT_ROWS, hot_keys, split_hot
@@ -56,43 +57,49 @@ _SALE_FROM_LINE = {
 _SALE_TEXT = ("order_detail_id", "order_id", "user_id", "sku_id")
 
 
-def _from(frame: DataFrame, alias: str, source: str, output: str, schema) -> Column:
-    if source in frame.columns:
-        return F.col(f"{alias}.{source}").alias(output)
-    return F.lit(None).cast(schema[output].dataType).alias(output)
-
+def _record(
+    schema: StructType,
+    orders: DataFrame,
+    lines: DataFrame,
+    from_order: dict[str, str],
+    from_line: dict[str, str],
+    fixed: dict[str, str],
+) -> list[str]:
+    """``schema`` as SQL expressions over inputs aliased ``o`` and ``l``.
 
-def wide_columns(orders: DataFrame, lines: DataFrame) -> list[Column]:
-    """The wide record's columns, from inputs aliased ``o`` and ``l``."""
+    A field comes from its side if that has it, else it is a fixed value or NULL.
+    """
+    present = {"o": set(orders.columns), "l": set(lines.columns)}
     source = {
-        **{c: ("o", orders, s) for c, s in _WIDE_FROM_ORDER.items()},
-        **{c: ("l", lines, s) for c, s in _WIDE_FROM_LINE.items()},
+        **{output: ("o", name) for output, name in from_order.items()},
+        **{output: ("l", name) for output, name in from_line.items()},
     }
-    schema = schemas.ORDER_WIDE
-    return [
-        F.lit(0.0).alias(c) if c == "final_detail_amount"
-        else _from(source[c][1], source[c][0], source[c][2], c, schema)
-        for c in schema.fieldNames()
-    ]
+    expressions = []
+    for field in schema.fields:
+        side, name = source.get(field.name, (None, None))
+        if side and name in present[side]:
+            value = f"{side}.{name}"
+            if field.name in _SALE_TEXT and schema is schemas.SALE_DETAIL:
+                value = f"CAST({value} AS STRING)"
+        else:
+            value = f"CAST({fixed.get(field.name, 'NULL')} AS {field.dataType.simpleString()})"
+        expressions.append(f"{value} AS {field.name}")
+    return expressions
 
 
-def sale_columns(orders: DataFrame, lines: DataFrame) -> list[Column]:
-    """The sale record's columns; ids are text, gender, age and level stay unset."""
-    source = {
-        **{c: ("o", orders, s) for c, s in _SALE_FROM_ORDER.items()},
-        **{c: ("l", lines, s) for c, s in _SALE_FROM_LINE.items()},
-    }
-    columns = []
-    for field in schemas.SALE_DETAIL.fields:
-        if field.name == "user_age":
-            column = F.lit(0)
-        elif field.name in source:
-            alias, frame, name = source[field.name]
-            column = _from(frame, alias, name, field.name, schemas.SALE_DETAIL)
-        else:
-            column = F.lit(None)
-        columns.append(column.cast(field.dataType).alias(field.name))
-    return columns
+def wide_columns(orders: DataFrame, lines: DataFrame) -> list[str]:
+    """The wide record, from inputs aliased ``o`` and ``l``."""
+    return _record(
+        schemas.ORDER_WIDE, orders, lines, _WIDE_FROM_ORDER, _WIDE_FROM_LINE,
+        {"final_detail_amount": "0"},
+    )
+
+
+def sale_columns(orders: DataFrame, lines: DataFrame) -> list[str]:
+    """The sale record; ids are text, gender, age and level stay unset."""
+    return _record(
+        schemas.SALE_DETAIL, orders, lines, _SALE_FROM_ORDER, _SALE_FROM_LINE, {"user_age": "0"}
+    )
 
 
 def same_order() -> Column:
@@ -133,7 +140,7 @@ def join_lines(
     """
     on = same_order() if condition is None else same_order() & condition
     return (
-        lines.alias("l").join(orders.alias("o"), on, how).select(*wide_columns(orders, lines))
+        lines.alias("l").join(orders.alias("o"), on, how).selectExpr(*wide_columns(orders, lines))
     )
 
 
@@ -156,7 +163,7 @@ def join_sales(
     cold_orders, hot_orders = split_hot(orders, hot.withColumnRenamed("order_id", "id"), ["id"])
     columns = sale_columns(orders, lines)
 
-    ordinary = few_lines.alias("l").join(cold_orders.alias("o"), on, "full").select(*columns)
+    ordinary = few_lines.alias("l").join(cold_orders.alias("o"), on, "full").selectExpr(*columns)
     crowded = many_lines.alias("l").join(
         F.broadcast(hot_orders.alias("o")), on, "left"
     )
@@ -164,6 +171,6 @@ def join_sales(
     alone = hot_orders.join(F.broadcast(met), "id", "left_anti").alias("o")
     nothing = few_lines.limit(0).alias("l")
     return (
-        ordinary.unionByName(crowded.select(*columns))
-        .unionByName(alone.join(nothing, same_order(), "left").select(*columns))
+        ordinary.unionByName(crowded.selectExpr(*columns))
+        .unionByName(alone.join(nothing, same_order(), "left").selectExpr(*columns))
     )

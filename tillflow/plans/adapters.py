@@ -90,7 +90,7 @@ def detail_id() -> Column:
     return F.concat_ws(
         "-",
         F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
-        to_cents(F.col("l_extendedprice")), F.date_format("l_shipdate", "yyyyMMdd"),
+        to_cents(F.col("l_extendedprice")), F.unix_date(F.col("l_shipdate").cast("date")),
     )
 
 

@@ -8,7 +8,7 @@ from tillflow.plans.parameters import (
 
 _LINE_ID = (
     "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-    "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT), strftime(l_shipdate, '%Y%m%d'))"
+    "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT), date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)))"
 )
 _FREIGHT = "CASE WHEN o_orderpriority = '1-URGENT' THEN 10.0 ELSE 0.0 END"
 _CREATED = "strftime(o_orderdate + to_seconds(o_orderkey % 86400), '%Y-%m-%d %H:%M:%S')"
@@ -264,3 +264,25 @@ SQL: dict[str, str] = {
         WHERE list_contains(string_split(lower(text), ' '), '{WORD_ONE}')
           AND list_contains(string_split(lower(text), ' '), '{WORD_TWO}') AND {_word(WORD_TEXT)}""",
 }
+
+# --- streaming twins --------------------------------------------------------------
+
+SQL |= {
+    "log_route_stream": SQL["log_route"],
+    "dau_first_visit_stream": f"""
+        SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS dt, CAST(user_id AS VARCHAR) AS mid,
+               '{fv.VISIT_MINUTE}' AS mi
+        FROM events""",
+    "order_first_flag_stream": SQL["order_first_flag_state"],
+    "order_wide_stream": _with("o", "l") + f"""
+        SELECT order_id, l.id AS order_detail_id, sku_id, create_time
+        FROM l JOIN o ON l.order_id = o.id AND {_SALE_NEAR}""",
+    "sale_interval_stream": _with("o", "l") + f"""
+        SELECT CAST(order_id AS VARCHAR) AS order_id, l.id AS order_detail_id,
+               CAST(user_id AS VARCHAR) AS user_id, order_price AS sku_price, dt
+        FROM l JOIN o ON l.order_id = o.id AND {_SALE_NEAR}""",
+    "order_split_amount_stream": SQL["order_split_amount"],
+    "trademark_window_stream": f"""
+        SELECT * FROM ({SQL["trademark_window"]})
+        WHERE CAST(window_end AS TIMESTAMP) <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+}

@@ -13,3 +13,4 @@ SLIDE_DAYS = 5
 WORD_ONE = "the"
 WORD_TWO = "of"
 WORD_TEXT = "by"
+CHAIN_DAYS = 3000
