@@ -64,9 +64,9 @@ def busiest_hours(by_hour: DataFrame, size: int = fv.HOURS_PER_DAY) -> DataFrame
     return by_hour.orderBy(F.desc("dau"), "hr").limit(size)
 
 
-def new_devices(logs: DataFrame) -> DataFrame:
-    """Devices per day of their first visit ever."""
-    first = logs.groupBy(F.col("common.mid").alias("mid")).agg(F.min("ts").alias("ts"))
+def new_devices(rows: DataFrame) -> DataFrame:
+    """Devices per day of their first visit ever, from any rows with ``mid`` and ``ts``."""
+    first = rows.groupBy("mid").agg(F.min("ts").alias("ts"))
     return first.groupBy(day_text(moment(F.col("ts"))).alias("dt")).agg(
         F.count(F.lit(1)).alias("new_devices")
     )

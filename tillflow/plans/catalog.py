@@ -172,7 +172,7 @@ def dau_busiest_hours(spark, sf_dir):
 
 @query
 def new_devices(spark, sf_dir):
-    return visits.new_devices(_logs(spark, sf_dir))
+    return visits.new_devices(_logs(spark, sf_dir).select("common.mid", "ts"))
 
 
 # --- dimensions -------------------------------------------------------------------

@@ -1,8 +1,7 @@
 """Topics as frames of (key, value) text.
 
-With Kafka a topic is a subscription. Everywhere else it is a folder
-``<root>/topic=<name>`` of parquet files with the columns key and value, which
-is also what ``write_topics`` leaves behind.
+With Kafka a topic is a subscription. Everywhere else the topics are one folder
+of parquet files, partitioned by ``topic``, with the columns key and value.
 """
 
 import json
@@ -10,7 +9,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MESSAGE = "key string, value string"
+MESSAGE = "key string, value string, topic string"
 
 
 def kafka_options(
@@ -21,8 +20,10 @@ def kafka_options(
     ``starting`` may map partition numbers to offsets. It only counts on the
     first start: after that the query's checkpoint holds the positions.
     """
-    offsets = starting if isinstance(starting, str) else json.dumps(
-        {topic: {str(p): o for p, o in starting.items()}}
+    offsets = (
+        starting
+        if isinstance(starting, str)
+        else json.dumps({topic: {str(p): offset for p, offset in starting.items()}})
     )
     return {
         "kafka.bootstrap.servers": servers,
@@ -43,29 +44,30 @@ def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 def read_topic_stream(
     spark: SparkSession, root: str, topic: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """A topic folder as a stream."""
+    """A topic of a folder as a stream; other topics are pruned by partition."""
     reader = spark.readStream.schema(MESSAGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(f"{root}/topic={topic}")
+    return reader.parquet(root).filter(F.col("topic") == topic).select("key", "value")
 
 
 def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    """All messages of a topic folder."""
-    return spark.read.schema(MESSAGE).parquet(f"{root}/topic={topic}")
+    """All messages of a topic in a folder."""
+    messages = spark.read.schema(MESSAGE).parquet(root)
+    return messages.filter(F.col("topic") == topic).select("key", "value")
 
 
 def with_key(messages: DataFrame) -> DataFrame:
     """(topic, key, value) of messages that may lack a key."""
-    key = F.col("key") if "key" in messages.columns else F.lit(None).cast("string")
+    key = F.col("key") if "key" in messages.columns else F.lit(None)
     return messages.select("topic", key.cast("string").alias("key"), "value")
 
 
 def write_topics(messages: DataFrame, root: str) -> None:
-    """Appends (topic, key, value) messages to their topic folders."""
+    """Appends a batch of (topic, key, value) messages to a folder."""
     with_key(messages).write.mode("append").partitionBy("topic").parquet(root)
 
 
 def write_kafka(messages: DataFrame, servers: str) -> None:
-    """Sends (topic, key, value) messages; each goes to the topic in its row."""
+    """Sends a batch of (topic, key, value) messages, each to the topic in its row."""
     with_key(messages).write.format("kafka").option("kafka.bootstrap.servers", servers).save()

@@ -2,8 +2,7 @@
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StringType, StructField, StructType
@@ -13,6 +12,10 @@ from tillflow import fixed_values as fv
 _FLAG = "if_first_order"
 
 
+def _flagged(order: Row, flag: str) -> Row:
+    return Row(**order.asDict(), **{_FLAG: flag})
+
+
 class _FirstOrder(StatefulProcessor):
     """Per user one mark: has ordered before."""
 
@@ -22,34 +25,24 @@ class _FirstOrder(StatefulProcessor):
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self._ordered.update((True,))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self._ordered.exists():
-            for chunk in rows:
-                yield chunk.assign(**{_FLAG: fv.LATER_ORDER})
-            return
-        # Only the earliest order so far is held back; all others are known to
-        # be later ones and leave at once, so a user may have any number.
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self._ordered.exists()
+        # Of a new user only the earliest order so far is held back; the others
+        # are later ones and leave at once, so a user may have any number.
         held = None
-        for chunk in rows:
-            chunk = chunk.sort_values(["create_time", "id"], kind="stable")
-            head, others = chunk.iloc[:1], chunk.iloc[1:]
-            if held is not None:
-                held, late = self._earlier(held, head)
-                others = pd.concat([late, others])
+        for order in rows:
+            if known:
+                yield _flagged(order, fv.LATER_ORDER)
+            elif held is None:
+                held = order
+            elif (order.create_time, order.id) < (held.create_time, held.id):
+                yield _flagged(held, fv.LATER_ORDER)
+                held = order
             else:
-                held = head
-            if len(others):
-                yield others.assign(**{_FLAG: fv.LATER_ORDER})
+                yield _flagged(order, fv.LATER_ORDER)
         if held is not None:
             self._ordered.update((True,))
-            yield held.assign(**{_FLAG: fv.FIRST_ORDER})
-
-    @staticmethod
-    def _earlier(a: pd.DataFrame, b: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
-        def key(row: pd.DataFrame):
-            return row["create_time"].iloc[0], row["id"].iloc[0]
-
-        return (a, b) if key(a) <= key(b) else (b, a)
+            yield _flagged(held, fv.FIRST_ORDER)
 
     def close(self) -> None:
         pass
@@ -64,7 +57,6 @@ def flag_first_orders_stream(orders: DataFrame, state: DataFrame | None = None)
     if_consumed) tells which users ordered before the stream began.
     """
     kept = [f for f in orders.schema.fields if f.name != _FLAG]
-    output = StructType([*kept, StructField(_FLAG, StringType())])
     initial = None
     if state is not None:
         initial = (
@@ -75,9 +67,9 @@ def flag_first_orders_stream(orders: DataFrame, state: DataFrame | None = None)
     return (
         orders.select(*[f.name for f in kept])
         .groupBy("user_id")
-        .transformWithStateInPandas(
+        .transformWithState(
             statefulProcessor=_FirstOrder(),
-            outputStructType=output,
+            outputStructType=StructType([*kept, StructField(_FLAG, StringType())]),
             outputMode="Append",
             timeMode="None",
             initialState=initial,
