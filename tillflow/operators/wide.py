@@ -107,8 +107,11 @@ def same_order() -> Column:
 
 
 def seconds_apart(order_time: str, line_time: str, bound: int) -> Column:
-    """Order and line at most ``bound`` seconds apart, as a range on the line's time."""
-    reach = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(bound))
+    """Order and line at most ``bound`` seconds apart, as a range on the line's time.
+
+    The interval is a literal: only then can a stream tell how long to keep rows.
+    """
+    reach = F.expr(f"INTERVAL {int(bound)} SECOND")
     at, line_at = F.col(f"o.{order_time}"), F.col(f"l.{line_time}")
     return (line_at >= at - reach) & (line_at <= at + reach)
 
