@@ -11,7 +11,7 @@ from tillflow.plans import dashboard
 from tillflow.sources import tables, topics
 from tillflow.streaming import jobs, run
 from tillflow.streaming.allocation import allocate_stream
-from tillflow.streaming.orders import flag_first_orders_stream
+from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state
 from tillflow.streaming.visits import first_visits_stream
 from tillflow.streaming.wide import join_lines_stream, join_sales_stream
 
@@ -87,6 +87,23 @@ def test_first_order_flag_goes_to_the_first_to_arrive(feed, finish, rows):
     assert (1, "1") in as_set(orders.flag_first_orders(feed_.table(), known), "id", "if_first_order")
 
 
+def test_flag_with_state_in_a_table(feed, rows, spark, tmp_path):
+    feed_ = feed("orders", ORDERS)
+    state, out = f"{tmp_path}/state", f"{tmp_path}/flags"
+    seed_state(rows("user_id string, if_consumed string", ("7", "1")), state)
+
+    def write(batch, batch_id):
+        for _ in range(2):  # as if the batch ran again after its state was written
+            tables.replace_batch(flag_batch(batch, batch_id, state), batch_id, out)
+
+    feed_.add((3, 1, "2021-04-01"), (2, 1, "2021-04-01"), (5, 7, "2021-04-01"))
+    run.start_batches(feed_.stream(), write, f"{tmp_path}/c").awaitTermination()
+    feed_.add((1, 1, "2021-03-01"), (9, 9, "2021"))
+    run.start_batches(feed_.stream(), write, f"{tmp_path}/c").awaitTermination()
+    got = as_set(spark.read.parquet(out), "id", "if_first_order")
+    assert got == {(3, "0"), (2, "1"), (5, "0"), (1, "0"), (9, "1")}
+
+
 ORDER = "id bigint, create_time string, create_date string, final_total_amount double, original_total_amount double"
 LINE = "id bigint, order_id bigint, order_price double, sku_num bigint, create_time string"
 
@@ -116,6 +133,10 @@ def test_pairs_come_once_and_only_within_the_bound(two_feeds, finish, spark):
     o, l = two_feeds
     joined = finish(join_lines_stream(o.stream(), l.stream(), bound=10))
     assert as_set(joined, "order_id", "order_detail_id") == {(1, 10), (1, 11), (1, 12)}
+    salted = finish(join_lines_stream(o.stream(), l.stream(), bound=10, salts=3), "salted")
+    assert as_set(salted) == as_set(joined)
+    with pytest.raises(ValueError):
+        join_sales_stream(o.stream(), l.stream(), salts=2)
     at = F.to_timestamp("create_time")
     batch = wide.join_lines(
         o.table().distinct().withColumn("at", at), l.table().distinct().withColumn("at", at),

@@ -12,16 +12,25 @@ from tillflow.functions.money import to_cents
 
 _DAY_SECONDS = 86_400
 SPU_COUNT = 64
+FILES_PER_BATCH = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a stream. The pattern lets it be one file or a folder of files."""
+def table_stream(
+    spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | None = FILES_PER_BATCH
+) -> DataFrame:
+    """A table as a stream. The pattern lets it be one file or a folder of files.
+
+    The number of files bounds a micro-batch, and with it what one key can bring.
+    """
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def instant(ts: str) -> Column:

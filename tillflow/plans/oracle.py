@@ -274,6 +274,7 @@ SQL |= {
                '{fv.VISIT_MINUTE}' AS mi
         FROM events""",
     "order_first_flag_stream": SQL["order_first_flag_state"],
+    "order_first_flag_batch_stream": SQL["order_first_flag_state"],
     "order_wide_stream": _with("o", "l") + f"""
         SELECT order_id, l.id AS order_detail_id, sku_id, create_time
         FROM l JOIN o ON l.order_id = o.id AND {_SALE_NEAR}""",

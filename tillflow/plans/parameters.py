@@ -14,3 +14,5 @@ WORD_ONE = "the"
 WORD_TWO = "of"
 WORD_TEXT = "by"
 CHAIN_DAYS = 3000
+NEVER_LATE = "10000 days"
+STREAM_SALTS = 4

@@ -1,8 +1,8 @@
 """Catalog queries that run the streaming operators over the given tables.
 
 Each runs a stream over all rows of its tables to the end and returns what was
-written. The files of a table are not in time order, so all are taken as one
-micro-batch: rows that are late by a watermark could be dropped otherwise.
+written. The files of a table are not in time order, so the watermark's delay is
+longer than the tables' time span: no row is ever late, and none is dropped.
 """
 
 from pyspark.sql import functions as F
@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from tillflow.operators import marts, orders, routing
 from tillflow.plans import adapters as a
 from tillflow.plans.catalog import _window_texts, query
-from tillflow.plans.parameters import CHAIN_DAYS, INTERVAL_DAYS, STATE_BEFORE
+from tillflow.plans.parameters import (
+    CHAIN_DAYS, INTERVAL_DAYS, NEVER_LATE, STATE_BEFORE, STREAM_SALTS,
+)
+from tillflow.sources.tables import replace_batch
 from tillflow.streaming.allocation import allocate_stream
-from tillflow.streaming.orders import flag_first_orders_stream
-from tillflow.streaming.run import new_folder, run_to_table
+from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state
+from tillflow.streaming.run import new_folder, run_to_table, start_batches
 from tillflow.streaming.visits import first_visits_stream
 from tillflow.streaming.wide import join_lines_stream, join_sales_stream
 
@@ -33,21 +36,43 @@ def log_route_stream(spark, sf_dir):
 @query
 def dau_first_visit_stream(spark, sf_dir):
     logs = a.app_logs(a.table_stream(spark, sf_dir, "events"))
-    return run_to_table(first_visits_stream(logs, salts=4), "first_visit").select("dt", "mid", "mi")
+    return run_to_table(first_visits_stream(logs, NEVER_LATE, STREAM_SALTS), "first_visit").select("dt", "mid", "mi")
 
 
-@query
-def order_first_flag_stream(spark, sf_dir):
-    """Orders since a date as a stream, with the users before it as initial state."""
+def _known_and_new(spark, sf_dir):
+    """Users who ordered before a date, and the orders since then as a stream."""
     before = orders.add_order_dates(a.order_info(a.table(spark, sf_dir, "orders")))
     known = orders.new_customers(
         orders.flag_first_orders(before.filter(F.col("create_date") < STATE_BEFORE))
     )
     stream = orders.add_order_dates(a.order_info(a.table_stream(spark, sf_dir, "orders")))
-    rows = stream.filter(F.col("create_date") >= STATE_BEFORE).select("id", "user_id", "create_time")
+    rows = stream.filter(F.col("create_date") >= STATE_BEFORE)
+    return known, rows.select("id", "user_id", "create_time")
+
+
+@query
+def order_first_flag_stream(spark, sf_dir):
+    """The flag with its state in the state store."""
+    known, rows = _known_and_new(spark, sf_dir)
     return run_to_table(flag_first_orders_stream(rows, known), "first_flag").drop("create_time")
 
 
+@query
+def order_first_flag_batch_stream(spark, sf_dir):
+    """The flag with its state in a table."""
+    known, rows = _known_and_new(spark, sf_dir)
+    folder = new_folder(spark, "first_flag_batches")
+    seed_state(known, f"{folder}/state")
+
+    def write(batch, batch_id):
+        flagged = flag_batch(batch, batch_id, f"{folder}/state")
+        replace_batch(flagged, batch_id, f"{folder}/rows")
+
+    start_batches(rows, write, f"{folder}/checkpoint").awaitTermination()
+    written = spark.read.schema("id bigint, user_id bigint, if_first_order string")
+    return written.parquet(f"{folder}/rows").select("id", "user_id", "if_first_order")
+
+
 def _sides(spark, sf_dir):
     o = orders.add_order_dates(a.order_info(a.table_stream(spark, sf_dir, "orders")))
     l = a.order_detail(a.table_stream(spark, sf_dir, "lineitem"))
@@ -56,7 +81,9 @@ def _sides(spark, sf_dir):
 
 @query
 def order_wide_stream(spark, sf_dir):
-    joined = join_lines_stream(*_sides(spark, sf_dir), bound=INTERVAL_DAYS * _DAY, delay="1 day")
+    joined = join_lines_stream(
+        *_sides(spark, sf_dir), bound=INTERVAL_DAYS * _DAY, delay=NEVER_LATE, salts=STREAM_SALTS
+    )
     rows = joined.select("order_id", "order_detail_id", "sku_id", "create_time")
     return run_to_table(rows, "order_wide")
 
@@ -64,7 +91,8 @@ def order_wide_stream(spark, sf_dir):
 @query
 def sale_interval_stream(spark, sf_dir):
     joined = join_sales_stream(
-        *_sides(spark, sf_dir), bound=INTERVAL_DAYS * _DAY, delay="1 day", how="inner"
+        *_sides(spark, sf_dir), bound=INTERVAL_DAYS * _DAY, delay=NEVER_LATE, how="inner",
+        salts=STREAM_SALTS,
     )
     return run_to_table(
         joined.select("order_id", "order_detail_id", "user_id", "sku_price", "dt"), "sale"
@@ -86,9 +114,12 @@ def order_split_amount_stream(spark, sf_dir):
     complete = a.order_info(a.table(spark, sf_dir, "orders")).drop("original_total_amount")
     complete.join(totals, "id").write.parquet(written)
     schema = spark.read.parquet(written).schema
-    stream = orders.add_order_dates(spark.readStream.schema(schema).parquet(written))
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", a.FILES_PER_BATCH)
+    stream = orders.add_order_dates(files.parquet(written))
     lines = a.order_detail(a.table_stream(spark, sf_dir, "lineitem"))
-    joined = join_lines_stream(stream, lines, bound=CHAIN_DAYS * _DAY, delay="1 day")
+    joined = join_lines_stream(
+        stream, lines, bound=CHAIN_DAYS * _DAY, delay=NEVER_LATE, salts=STREAM_SALTS
+    )
     return run_to_table(allocate_stream(joined), "split_amount").select(
         "order_id", "order_detail_id", "final_detail_amount"
     )
@@ -96,8 +127,12 @@ def order_split_amount_stream(spark, sf_dir):
 
 @query
 def trademark_window_stream(spark, sf_dir):
-    """Hourly amounts; windows come out once the watermark has passed their end."""
-    rows = a.table_stream(spark, sf_dir, "events").select(
+    """Hourly amounts; windows come out once the watermark has passed their end.
+
+    That needs a short delay, so here all files make one micro-batch. The sums
+    are combined before the shuffle, whatever a key's share of it.
+    """
+    rows = a.table_stream(spark, sf_dir, "events", files_per_batch=None).select(
         a.instant("ts").alias("ts"),
         F.get_json_object("props", "$.k").cast("bigint").alias("tm_id"),
         F.col("value").alias("paid"),

@@ -8,6 +8,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillflow import fixed_values as fv
+from tillflow.operators.orders import flag_first_orders, new_customers
+from tillflow.sources.tables import BATCH, replace_batch
 
 _FLAG = "if_first_order"
 
@@ -48,6 +50,31 @@ class _FirstOrder(StatefulProcessor):
         pass
 
 
+def seed_state(known: DataFrame, state_path: str) -> None:
+    """Writes the users who ordered before the first batch; there may be none."""
+    replace_batch(known.select("user_id", "if_consumed"), -1, state_path)
+
+
+def flag_batch(rows: DataFrame, batch_id: int, state_path: str) -> DataFrame:
+    """``if_first_order`` for one micro-batch, with the state in a table.
+
+    For ``foreachBatch``, where one user may bring a large part of a batch: the
+    flag is found by a combined aggregation and nothing passes through Python.
+    The users whose first order is in this batch are added to the table at
+    ``state_path`` (made by ``seed_state``) under the batch's number, and only
+    what earlier batches wrote counts as state, so a batch that runs again comes
+    to the same result.
+    """
+    state = (
+        rows.sparkSession.read.schema(f"user_id string, if_consumed string, {BATCH} bigint")
+        .parquet(state_path)
+        .filter(F.col(BATCH) < batch_id)
+    )
+    flagged = flag_first_orders(rows, state)
+    replace_batch(new_customers(flagged), batch_id, state_path)
+    return flagged
+
+
 def flag_first_orders_stream(orders: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """Adds ``if_first_order`` to a stream of orders.
 
