@@ -38,8 +38,9 @@ def hour_part_of(text: Column) -> Column:
 
 
 def hour_number(text: Column) -> Column:
-    """Hour of day as a number, not zero padded; NULL when the text is no time."""
-    return F.hour(F.try_to_timestamp(text, F.lit(SECOND)))
+    """Hour of day as a number, not zero padded; NULL when the text has none."""
+    hour = hour_part_of(text).try_cast("int")
+    return F.when(hour.between(0, 23), hour)
 
 
 def previous_day(day: str) -> str:

@@ -10,11 +10,6 @@ def is_json(text: Column) -> Column:
     return F.try_parse_json(text).isNotNull()
 
 
-def as_map(text: Column) -> Column:
-    """JSON object to ``map<string,string>``; NULL when it is no object."""
-    return F.from_json(text, "map<string,string>")
-
-
 _BROKEN = "_broken"
 
 

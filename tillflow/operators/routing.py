@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow import fixed_values as fv
-from tillflow.functions.records import as_map
 
 
 def split_app_log(
@@ -38,25 +37,31 @@ def route_canal(messages: DataFrame) -> DataFrame:
 
 
 def maxwell_passes(table: Column, kind: Column, data: Column) -> Column:
-    """Which change messages are routed.
+    """Which change messages are routed; ``data`` is the row image as JSON text.
 
-    ``data`` (a map) must hold something and the change must not be a delete.
-    Orders pass on insert only, so an order that is updated later is not counted
-    twice; a bootstrap load of orders does not pass either. The other tables pass
-    with every change, bootstrap included, since that is how they are first loaded.
+    The row image must be an object with something in it and the change must not
+    be a delete. Orders pass on insert only, so an order that is updated later is
+    not counted twice; a bootstrap load of orders does not pass either. The other
+    tables pass with every change, bootstrap included, since that is how they are
+    first loaded.
     """
     table_passes = table.isin(*fv.ROUTED_TABLES) | (
         (table == fv.INSERT_ONLY_TABLE) & kind.eqNullSafe(F.lit(fv.INSERT))
     )
-    return (F.size(data) > 0) & ~kind.eqNullSafe(F.lit(fv.DELETE)) & table_passes
+    has_data = data.startswith("{") & (data != "{}")
+    return has_data & ~kind.eqNullSafe(F.lit(fv.DELETE)) & table_passes
 
 
 def route_maxwell(messages: DataFrame) -> DataFrame:
-    """The passing change messages, one row image each."""
+    """The passing change messages, one row image each.
+
+    ``inline`` over a filtered one-element array parses each message once; a
+    filter on the parsed columns would be pushed down and parse it again.
+    """
     change = F.from_json(F.col("value"), "`table` string, type string, data string")
-    table, kind, data = (F.col(f"change.{f}") for f in ("table", "type", "data"))
-    return (
-        messages.select(change.alias("change"))
-        .filter(maxwell_passes(table, kind, as_map(data)))
-        .select(ods_topic(table).alias("topic"), data.alias("value"))
+    passing = F.filter(
+        F.array(change), lambda c: maxwell_passes(c["table"], c["type"], c["data"])
+    )
+    return messages.select(F.inline(passing)).select(
+        ods_topic(F.col("table")).alias("topic"), F.col("data").alias("value")
     )

@@ -44,15 +44,6 @@ def _skus(spark, sf_dir) -> DataFrame:
     return dims.name_skus(a.sku_info(part), a.categories(part), a.trademarks(part), a.spus(part))
 
 
-def _branded_details(spark, sf_dir) -> DataFrame:
-    """Lines with their brand, for reports that need no other SKU column."""
-    brand = a.sku_info(a.table(spark, sf_dir, "part")).select(
-        F.col("id").cast("bigint").alias("sku_id"), F.col("tm_id").cast("bigint").alias("tm_id"),
-        F.concat(F.lit("Brand#"), "tm_id").alias("tm_name"),
-    )
-    return _details(spark, sf_dir).join(brand, "sku_id", "left")
-
-
 def _users(spark, sf_dir) -> DataFrame:
     users = a.user_info(a.table(spark, sf_dir, "customer"))
     return dims.label_users(users, F.lit(AS_OF).cast("date"))
@@ -69,7 +60,20 @@ def _enriched_orders(spark, sf_dir) -> DataFrame:
 
 
 def _paid(spark, sf_dir) -> DataFrame:
-    return allocation.paid_lines(_orders(spark, sf_dir), _details(spark, sf_dir))
+    """Allocated lines; brand columns are left to those who join them."""
+    paid = allocation.paid_lines(_orders(spark, sf_dir), _details(spark, sf_dir))
+    return paid.drop("tm_id", "tm_name")
+
+
+def _paid_by_brand(spark, sf_dir) -> DataFrame:
+    """Allocated lines with their brand, joined after the allocation to keep that narrow."""
+    part = a.table(spark, sf_dir, "part")
+    brand = a.sku_info(part).select(F.col("id").cast("bigint").alias("sku_id"), "tm_id").join(
+        a.trademarks(part).withColumnRenamed("id", "tm_id"), "tm_id", "left"
+    )
+    return _paid(spark, sf_dir).join(
+        brand.withColumn("tm_id", F.col("tm_id").cast("bigint")), "sku_id", "left"
+    )
 
 
 def _purchases(spark, sf_dir) -> DataFrame:
@@ -94,11 +98,7 @@ def log_route(spark, sf_dir):
 
 
 def _routed(messages: DataFrame) -> DataFrame:
-    return messages.select(
-        "topic",
-        F.get_json_object("value", "$.id").alias("id"),
-        F.get_json_object("value", "$.note").alias("note"),
-    )
+    return messages.select("topic", F.json_tuple("value", "id", "note").alias("id", "note"))
 
 
 @query
@@ -314,8 +314,7 @@ def order_running_sums(spark, sf_dir):
 
 @query
 def trademark_amount(spark, sf_dir):
-    paid = allocation.paid_lines(_orders(spark, sf_dir), _branded_details(spark, sf_dir))
-    return marts.trademark_amount(paid)
+    return marts.trademark_amount(_paid_by_brand(spark, sf_dir))
 
 
 @query
@@ -341,9 +340,9 @@ def _window_texts(windows: DataFrame) -> DataFrame:
 
 @query
 def trademark_topn(spark, sf_dir):
-    paid = allocation.paid_lines(_orders(spark, sf_dir), _branded_details(spark, sf_dir))
     stats = (
-        paid.groupBy("dt", "tm_id", "tm_name")
+        _paid_by_brand(spark, sf_dir)
+        .groupBy("dt", "tm_id", "tm_name")
         .agg(marts.sum_amount(F.col("final_detail_amount")).alias("amount"))
         .select(
             F.col("dt").cast("timestamp").alias("stat_time"),
