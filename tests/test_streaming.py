@@ -217,16 +217,32 @@ def test_session_settings_come_back_after_a_start(spark, feed, finish):
     assert before == {k: spark.conf.get(k, None) for k in before}
 
 
-@pytest.mark.parametrize("named", ["hdfs://shared/", None])
-def test_folder_is_the_one_the_cluster_names(named):
+@pytest.mark.parametrize(
+    "settings, start",
+    [
+        ({"spark.checkpoint.dir": "hdfs://shared/"}, "hdfs://shared/tillflow/x-"),
+        ({"spark.master": "local[4]"}, "/"),
+        ({"spark.master": "spark://host:7077"}, None),
+    ],
+)
+def test_folder_is_the_one_the_cluster_names(settings, start):
     class Session:
         class conf:
             @staticmethod
             def get(name, default):
-                return named or default
+                return settings.get(name, default)
 
-    folder = run.new_folder(Session, "x")
-    assert folder.startswith("hdfs://shared/tillflow/x-" if named else "/")
+    if start:
+        assert run.new_folder(Session, "x").startswith(start)
+    else:
+        with pytest.raises(ValueError):
+            run.new_folder(Session, "x")
+
+
+def test_plain_append(spark, rows, tmp_path):
+    for _ in range(2):
+        tables.append_rows(rows("dt string, x int", ("d", 1)), f"{tmp_path}/t", by=["dt"])
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/t").collect()] == [(1, "d"), (1, "d")]
 
 
 def change(table, **data):

@@ -19,7 +19,6 @@ from tillflow.operators.wide import join_lines
 
 _ORDER = "order_id"
 _LINE = "order_detail_id"
-_FINAL = "final_detail_amount"
 
 
 def line_cents() -> Column:
@@ -31,14 +30,12 @@ def paid_cents() -> Column:
     return to_cents(F.col("final_total_amount"))
 
 
-def _with_share(
-    rows: DataFrame, is_last: Column, share_sum: Column, columns: list[str]
-) -> DataFrame:
-    """Rows with their ``_share``, or what all others leave of the paid amount for the last."""
+def _with_share(rows: DataFrame, is_last: Column, share_sum: Column) -> DataFrame:
+    """Fills in ``_share``, or for the last line what all others leave of the paid amount."""
     share, none = F.col("_share"), F.lit(0)
     rest = paid_cents() - (F.coalesce(share_sum, none) - F.coalesce(share, none))
-    final = from_cents(F.when(is_last, rest).otherwise(share)).alias(_FINAL)
-    return rows.select(*[final if c == _FINAL else F.col(c) for c in columns])
+    final = from_cents(F.when(is_last, rest).otherwise(share))
+    return rows.withColumn("final_detail_amount", final)
 
 
 def allocate_in_windows(wide: DataFrame) -> DataFrame:
@@ -53,8 +50,7 @@ def allocate_in_windows(wide: DataFrame) -> DataFrame:
         summed,
         is_last=F.lead(F.lit(True)).over(order).isNull(),
         share_sum=F.sum(share).over(whole),
-        columns=wide.columns,
-    )
+    ).drop("_amount", "_share")
 
 
 def allocate_by_sums(wide: DataFrame) -> DataFrame:
@@ -75,8 +71,7 @@ def allocate_by_sums(wide: DataFrame) -> DataFrame:
         shared.join(F.broadcast(share_sums), _ORDER),
         is_last=F.col(_LINE) == F.col("_last"),
         share_sum=F.col("_share_sum"),
-        columns=wide.columns,
-    )
+    ).drop("_amount", "_share", "_sum", "_last", "_share_sum")
 
 
 def allocate(

@@ -59,6 +59,11 @@ def replace_batch(rows: DataFrame, batch_id: int, path: str, by: list[str] | Non
     )
 
 
+def append_rows(rows: DataFrame, path: str, by: list[str] | None = None) -> None:
+    """Appends rows as they are, without a key."""
+    rows.write.mode("append").partitionBy(*(by or [])).parquet(path)
+
+
 def batch_sink(path: str, by: list[str] | None = None) -> Callable[[DataFrame, int], None]:
     """``replace_batch`` as a ``foreachBatch`` function."""
 

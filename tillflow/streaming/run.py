@@ -17,10 +17,14 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 
-    Only where none is named (a test on one machine) a local one is made.
+    Only where none is named, and only on a single machine, a local one is made.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None)
-    return named or tempfile.mkdtemp(prefix="tillflow-")
+    if named:
+        return named
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="tillflow-")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
