@@ -10,7 +10,7 @@ from tillflow.operators.routing import route_maxwell, split_app_log
 from tillflow.plans import dashboard
 from tillflow.sources import tables, topics
 from tillflow.streaming import jobs, run
-from tillflow.streaming.allocation import allocate_stream
+from tillflow.streaming.allocation import allocate_batch, allocate_stream, seed_sums
 from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state
 from tillflow.streaming.visits import first_visits_stream
 from tillflow.streaming.wide import join_lines_stream, join_sales_stream
@@ -179,6 +179,29 @@ def test_allocation_carries_its_sums_from_batch_to_batch(feed, finish):
     assert got == as_set(allocation.allocate(lines.table()), "order_id", "order_detail_id", "final_detail_amount")
 
 
+@pytest.mark.parametrize("hot_rows", [10**6, 1])
+def test_allocation_with_its_sums_in_a_table(feed, spark, tmp_path, hot_rows):
+    lines = feed("wide", "order_id bigint, order_detail_id bigint, sku_price double, sku_num bigint, final_total_amount double, original_total_amount double, final_detail_amount double")
+    state, out = f"{tmp_path}/state", f"{tmp_path}/shares"
+    seed_sums(spark, state)
+
+    def write(batch, batch_id):
+        for _ in range(2):  # as if the batch ran again after its sums were written
+            tables.replace_batch(allocate_batch(batch, batch_id, state, hot_rows), batch_id, out)
+
+    def add(*data):
+        lines.add(*[(o, n, price, 1, paid, original, 0.0) for o, n, price, paid, original in data])
+        run.start_batches(lines.stream(), write, f"{tmp_path}/c").awaitTermination()
+
+    add((1, 2, 40.0, 100.0, 120.0), (1, 1, 40.0, 100.0, 120.0), (2, 9, 0.0, 5.0, 0.0), (2, 10, 0.0, 5.0, 0.0))
+    add((1, 3, 40.0, 100.0, 120.0), (1, 4, 0.0, 100.0, 120.0), (3, 6, 40.0, 90.0, 100.0), (3, 5, 60.0, 90.0, 100.0))
+    got = as_set(spark.read.parquet(out), "order_id", "order_detail_id", "final_detail_amount")
+    assert got == {
+        (1, 1, 33.33), (1, 2, 33.33), (1, 3, 33.34), (1, 4, 0.0), (2, 9, 5.0), (2, 10, 0.0),
+        (3, 5, 54.0), (3, 6, 36.0),
+    }
+
+
 def test_windows_come_out_behind_the_watermark(feed, finish):
     events = feed("events", "at string, k int, paid double")
     events.add(("2021-01-01 00:10:00", 1, 1.0), ("2021-01-01 00:50:00", 1, 2.0))

@@ -110,15 +110,14 @@ def paid_lines(orders: DataFrame, lines: DataFrame, hot_rows: int = HOT_ROWS) ->
 _MAX_RANGES = 1024
 
 
-def _sums_before(rows: DataFrame, keys: list[str], order: str, prefix: str = "") -> DataFrame:
+def _sums_before(
+    rows: DataFrame, keys: list[str], order: str, names: tuple[str, ...], prefix: str
+) -> DataFrame:
     before = (
         W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow - 1)
     )
     return rows.withColumns(
-        {
-            f"{prefix}{name}": F.coalesce(F.sum(f"_{name}").over(before), F.lit(0))
-            for name in ("origin", "split")
-        }
+        {f"{prefix}{n}": F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)) for n in names}
     )
 
 
@@ -146,6 +145,32 @@ def _cut_into_ranges(rows: DataFrame, hot_rows: int) -> DataFrame:
     )
 
 
+def sums_before(
+    rows: DataFrame, names: tuple[str, ...], hot: DataFrame, hot_rows: int
+) -> DataFrame:
+    """Adds ``_before_x`` for every x in ``names``: the sum of ``_x`` over the order's
+    lines before this one, by line id.
+
+    A hot order is cut into ranges of line ids; sums over whole ranges are added
+    to the running sums inside each.
+    """
+    few, many = split_hot(rows, hot, [_ORDER])
+    ordinary = _sums_before(few, [_ORDER], _LINE, names, "_before_")
+
+    ranged = _cut_into_ranges(many, hot_rows)
+    range_sums = ranged.groupBy(_ORDER, "_range").agg(
+        *[F.sum(f"_{n}").alias(f"_{n}") for n in names]
+    )
+    earlier = _sums_before(range_sums, [_ORDER], "_range", names, "_base_").drop(
+        *[f"_{n}" for n in names]
+    )
+    inside = _sums_before(ranged, [_ORDER, "_range"], _LINE, names, "_in_")
+    crowded = inside.join(earlier, [_ORDER, "_range"]).withColumns(
+        {f"_before_{n}": F.col(f"_base_{n}") + F.col(f"_in_{n}") for n in names}
+    )
+    return ordinary.unionByName(crowded.select(*ordinary.columns))
+
+
 def running_sums(
     paid: DataFrame, hot: DataFrame | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -153,28 +178,13 @@ def running_sums(
 
     These are the order's line amounts and shares over the lines before this
     one, by line id: the two sums an allocation that meets the lines one by one
-    would carry. A hot order is cut into ranges of line ids; sums over whole
-    ranges are added to the running sums inside each.
+    would carry.
     """
     hot = hot_keys(paid, [_ORDER], hot_rows) if hot is None else hot
     amounts = paid.withColumns(
         {"_origin": line_cents(), "_split": to_cents(F.col("final_detail_amount"))}
     )
-    few, many = split_hot(amounts, hot, [_ORDER])
-    ordinary = _sums_before(few, [_ORDER], _LINE, "_before_")
-
-    ranged = _cut_into_ranges(many, hot_rows)
-    range_sums = ranged.groupBy(_ORDER, "_range").agg(
-        F.sum("_origin").alias("_origin"), F.sum("_split").alias("_split")
-    )
-    earlier = _sums_before(range_sums, [_ORDER], "_range", "_base_").drop("_origin", "_split")
-    inside = _sums_before(ranged, [_ORDER, "_range"], _LINE, "_in_")
-    crowded = inside.join(earlier, [_ORDER, "_range"]).withColumns(
-        {f"_before_{n}": F.col(f"_base_{n}") + F.col(f"_in_{n}") for n in ("origin", "split")}
+    names = ("origin", "split")
+    return sums_before(amounts, names, hot, hot_rows).select(
+        *paid.columns, *[from_cents(F.col(f"_before_{n}")).alias(f"{n}_before") for n in names]
     )
-    output = [
-        *paid.columns,
-        from_cents(F.col("_before_origin")).alias("origin_before"),
-        from_cents(F.col("_before_split")).alias("split_before"),
-    ]
-    return ordinary.select(*output).unionByName(crowded.select(*output))

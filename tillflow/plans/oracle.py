@@ -283,6 +283,7 @@ SQL |= {
                CAST(user_id AS VARCHAR) AS user_id, order_price AS sku_price, dt
         FROM l JOIN o ON l.order_id = o.id AND {_SALE_NEAR}""",
     "order_split_amount_stream": SQL["order_split_amount"],
+    "order_split_amount_batch_stream": SQL["order_split_amount"],
     "trademark_window_stream": f"""
         SELECT * FROM ({SQL["trademark_window"]})
         WHERE CAST(window_end AS TIMESTAMP) <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",

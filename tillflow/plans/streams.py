@@ -14,7 +14,7 @@ from tillflow.plans.parameters import (
     CHAIN_DAYS, INTERVAL_DAYS, NEVER_LATE, STATE_BEFORE, STREAM_SALTS,
 )
 from tillflow.sources.tables import replace_batch
-from tillflow.streaming.allocation import allocate_stream
+from tillflow.streaming.allocation import allocate_batch, allocate_stream, seed_sums
 from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state
 from tillflow.streaming.run import new_folder, run_to_table, start_batches
 from tillflow.streaming.visits import first_visits_stream
@@ -99,9 +99,8 @@ def sale_interval_stream(spark, sf_dir):
     )
 
 
-@query
-def order_split_amount_stream(spark, sf_dir):
-    """The whole chain: both feeds, each without repeats, joined, wide, allocated.
+def _joined_with_totals(spark, sf_dir):
+    """Both feeds, each without repeats, joined to wide records, as a stream.
 
     A stream tells the last line by the order's original total, so the orders
     are first written with the sum of their lines as that total.
@@ -117,12 +116,35 @@ def order_split_amount_stream(spark, sf_dir):
     files = spark.readStream.schema(schema).option("maxFilesPerTrigger", a.FILES_PER_BATCH)
     stream = orders.add_order_dates(files.parquet(written))
     lines = a.order_detail(a.table_stream(spark, sf_dir, "lineitem"))
-    joined = join_lines_stream(
+    return join_lines_stream(
         stream, lines, bound=CHAIN_DAYS * _DAY, delay=NEVER_LATE, salts=STREAM_SALTS
     )
-    return run_to_table(allocate_stream(joined), "split_amount").select(
-        "order_id", "order_detail_id", "final_detail_amount"
-    )
+
+
+_SPLIT = ("order_id", "order_detail_id", "final_detail_amount")
+
+
+@query
+def order_split_amount_stream(spark, sf_dir):
+    """The whole chain with the sums per order in the state store."""
+    paid = allocate_stream(_joined_with_totals(spark, sf_dir))
+    return run_to_table(paid, "split_amount").select(*_SPLIT)
+
+
+@query
+def order_split_amount_batch_stream(spark, sf_dir):
+    """The whole chain with the sums per order in a table."""
+    joined = _joined_with_totals(spark, sf_dir)
+    folder = new_folder(spark, "split_amount_batches")
+    seed_sums(spark, f"{folder}/state")
+
+    def write(batch, batch_id):
+        batch.persist()
+        replace_batch(allocate_batch(batch, batch_id, f"{folder}/state"), batch_id, f"{folder}/rows")
+        batch.unpersist()
+
+    start_batches(joined, write, f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema(joined.schema).parquet(f"{folder}/rows").select(*_SPLIT)
 
 
 @query

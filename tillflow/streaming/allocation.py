@@ -4,11 +4,19 @@ import math
 from collections.abc import Iterator
 from itertools import islice
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tillflow.functions.money import from_cents, share_cents, to_cents
+from tillflow.operators.allocation import line_cents, paid_cents, sums_before
+from tillflow.operators.skew import HOT_ROWS, hot_keys
+from tillflow.sources.tables import BATCH, replace_batch
+
 _SHARE = "final_detail_amount"
-_SORTED_AT_ONCE = 10_000
+_SUMS = ("origin", "split", "lines")
+_STATE = f"order_id bigint, origin bigint, split bigint, lines bigint, {BATCH} bigint"
+_SORTED_AT_ONCE = 100_000
 
 
 def _cents(amount: float) -> int:
@@ -71,3 +79,62 @@ def allocate_stream(wide: DataFrame, ttl_ms: int | None = None) -> DataFrame:
         outputMode="Append",
         timeMode="ProcessingTime" if ttl_ms else "None",
     )
+
+
+def seed_sums(spark: SparkSession, state_path: str) -> None:
+    """Makes the empty table of sums that ``allocate_batch`` keeps."""
+    replace_batch(spark.createDataFrame([], _STATE).drop(BATCH), -1, state_path)
+
+
+def allocate_batch(
+    wide: DataFrame, batch_id: int, state_path: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``allocate_stream`` for one micro-batch, with the state in a table.
+
+    For ``foreachBatch``, where one order may bring a large part of a batch: the
+    running sums inside the batch are those of the batch operators, by line id
+    and whatever the size, and nothing passes through Python. Every batch adds
+    its sums per order to the table at ``state_path`` under its own number, and
+    only those of earlier batches count, so a batch that runs again comes to the
+    same result. Persist the batch first: it is read more than once.
+    """
+    whole = to_cents(F.col("original_total_amount"))
+    here = wide.select("order_id").distinct()
+    earlier = (
+        wide.sparkSession.read.schema(_STATE)
+        .parquet(state_path)
+        .filter(F.col(BATCH) < batch_id)
+        .join(here, "order_id", "left_semi")
+        .groupBy("order_id")
+        .agg(*[F.sum(n).alias(f"_earlier_{n}") for n in _SUMS])
+    )
+    lines = wide.withColumns(
+        {
+            "_origin": line_cents(),
+            "_split": share_cents(line_cents(), whole, paid_cents()),
+            "_lines": F.lit(1).cast("bigint"),
+        }
+    )
+    summed = sums_before(lines, _SUMS, hot_keys(wide, ["order_id"], hot_rows), hot_rows)
+
+    def before(name: str):
+        return F.col(f"_before_{name}") + F.coalesce(f"_earlier_{name}", F.lit(0))
+
+    # The last line is the one that reaches the total; of an order that is all
+    # free it is the first.
+    reaches = before("origin") + F.col("_origin") == whole
+    is_last = reaches & ((F.col("_origin") > 0) | (before("lines") == 0))
+    share = (
+        F.when(is_last, paid_cents() - before("split"))
+        .when(whole == 0, F.lit(0))
+        .otherwise(F.col("_split"))
+    )
+    paid = summed.join(earlier, "order_id", "left").withColumn("_share", share)
+    sums = paid.groupBy("order_id").agg(
+        F.sum("_origin").alias("origin"),
+        F.coalesce(F.sum("_share"), F.lit(0)).alias("split"),
+        F.count(F.lit(1)).alias("lines"),
+    )
+    replace_batch(sums, batch_id, state_path)
+    others = [c for c in wide.columns if c != _SHARE]
+    return paid.select(*others, from_cents(F.col("_share")).alias(_SHARE)).select(*wide.columns)
