@@ -272,7 +272,8 @@ def change(table, **data):
     return (json.dumps({"table": table, "type": "insert", "data": data}),)
 
 
-def test_all_jobs_from_change_messages_to_dashboard(spark, rows, tmp_path):
+@pytest.mark.parametrize("in_tables", [False, True])
+def test_all_jobs_from_change_messages_to_dashboard(spark, rows, tmp_path, in_tables):
     house = jobs.Warehouse(f"{tmp_path}/house")
     incoming = f"{tmp_path}/incoming"
     start = spark.createDataFrame(
@@ -307,9 +308,9 @@ def test_all_jobs_from_change_messages_to_dashboard(spark, rows, tmp_path):
         done(jobs.start_dimension(ods(name), schema, house, name))
     done(jobs.start_users(ods("user_info"), house, "2021-04-08"))
     done(jobs.start_skus(ods("sku_info"), house))
-    done(jobs.start_orders(ods("order_info"), house))
+    done(jobs.start_orders(ods("order_info"), house, state_in_table=in_tables))
     done(jobs.start_details(ods("order_detail"), house))
-    done(jobs.start_wide(topic("dwd_order", "DWD_ORDER_INFO"), topic("dwd_detail", "DWD_ORDER_DETAIL"), house))
+    done(jobs.start_wide(topic("dwd_order", "DWD_ORDER_INFO"), topic("dwd_detail", "DWD_ORDER_DETAIL"), house, sums_in_table=in_tables))
     done(jobs.start_trademark_report(topic("dws", "DWS_ORDER_WIDE"), house))
 
     mart = spark.read.parquet(house.table("order_wide"))

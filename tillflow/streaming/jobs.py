@@ -24,8 +24,8 @@ from tillflow.functions.records import parse_records, to_messages
 from tillflow.operators import dims, marts, orders
 from tillflow.sources.tables import latest_rows, replace_batch
 from tillflow.sources.topics import with_key
-from tillflow.streaming.allocation import allocate_stream
-from tillflow.streaming.orders import flag_first_orders_stream
+from tillflow.streaming.allocation import allocate_batch, allocate_stream, seed_sums
+from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state
 from tillflow.streaming.run import start_append, start_batches
 from tillflow.streaming.visits import first_visits_stream
 from tillflow.streaming.wide import join_lines_stream
@@ -127,30 +127,41 @@ def start_orders(
     house: Warehouse,
     known: DataFrame | None = None,
     every: str | None = None,
+    state_in_table: bool = False,
 ) -> StreamingQuery:
     """Orders with dates, first-order flag, province and user, as keyed messages.
 
     Also keeps the table of users who have ordered. ``known`` are users who
-    ordered before the job's first start.
+    ordered before the job's first start. With ``state_in_table`` that table is
+    the state itself, for feeds where one user may bring much of a batch.
     """
     rows = orders.add_order_dates(parse_records(messages, schemas.ORDER_INFO))
-    flagged = flag_first_orders_stream(rows, known)
+    state = house.table("user_state")
+    if state_in_table:
+        empty = rows.sparkSession.createDataFrame([], schemas.USER_STATE)
+        seed_state(empty if known is None else known, state)
+    else:
+        rows = flag_first_orders_stream(rows, known)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
+        if state_in_table:
+            flagged = flag_batch(batch, batch_id, state)
+        else:
+            flagged = batch
+            replace_batch(orders.new_customers(batch), batch_id, state)
         full = orders.add_user(
-            orders.add_province(batch, house.dimension(spark, "base_province")),
+            orders.add_province(flagged, house.dimension(spark, "base_province")),
             house.dimension(spark, "user_info"),
         )
         replace_batch(
             to_messages(full, fv.TOPIC_ORDER_INFO, key="id"), batch_id, house.topics("dwd_order"),
             by=["topic"],
         )
-        replace_batch(orders.new_customers(batch), batch_id, house.table("user_state"))
         batch.unpersist()
 
-    return start_batches(flagged, write, house.checkpoint("dwd_order"), every)
+    return start_batches(rows, write, house.checkpoint("dwd_order"), every)
 
 
 def start_details(messages: DataFrame, house: Warehouse, every: str | None = None) -> StreamingQuery:
@@ -178,31 +189,44 @@ def start_wide(
     bound: int = fv.JOIN_WINDOW_SECONDS,
     delay: str = "1 minute",
     ttl_ms: int | None = None,
+    salts: int = 1,
+    sums_in_table: bool = False,
     also: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Both feeds without repeats, joined, allocated; to messages and to the mart.
 
-    ``also`` gets every batch as well, for example to append it over JDBC.
+    ``also`` gets every batch as well, for example to append it over JDBC. With
+    ``sums_in_table`` the sums per order are kept in a table instead of the state
+    store; that and ``salts`` are for feeds where one order may bring much of a
+    batch.
     """
     joined = join_lines_stream(
         parse_records(order_messages, schemas.ENRICHED_ORDER),
         parse_records(detail_messages, schemas.ENRICHED_DETAIL),
         bound=bound,
         delay=delay,
+        salts=salts,
     )
-    paid = allocate_stream(joined, ttl_ms)
+    sums = house.table("order_sums")
+    if sums_in_table:
+        seed_sums(joined.sparkSession, sums)
+        rows = joined
+    else:
+        rows = allocate_stream(joined, ttl_ms)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
+        paid = allocate_batch(batch, batch_id, sums).persist() if sums_in_table else batch
         replace_batch(
-            to_messages(batch, fv.TOPIC_ORDER_WIDE), batch_id, house.topics("dws"), by=["topic"]
+            to_messages(paid, fv.TOPIC_ORDER_WIDE), batch_id, house.topics("dws"), by=["topic"]
         )
-        replace_batch(batch, batch_id, house.table("order_wide"), by=["dt"])
+        replace_batch(paid, batch_id, house.table("order_wide"), by=["dt"])
         if also:
-            also(batch)
+            also(paid)
+        paid.unpersist()
         batch.unpersist()
 
-    return start_batches(paid, write, house.checkpoint("dws"), every)
+    return start_batches(rows, write, house.checkpoint("dws"), every)
 
 
 def start_trademark_report(
