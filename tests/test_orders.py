@@ -1,5 +1,4 @@
 from conftest import as_set
-from pyspark.sql import functions as F
 
 from tillflow.operators import dims, keyed, orders, visits
 
