@@ -10,8 +10,8 @@ Sub-regions of a crowded region stay tied to it by their smallest members.
 Candidates are verified on full sets. They come in two rounds. First each set
 meets the smallest id of its region in every order. Links found so far give
 components; regions that lie in one component are done. In the others, all
-sets of different components are compared by signature, and what may still reach
-the threshold is verified too. So no candidate is dropped by a cap.
+sets of different components are compared by a finer signature, and what may
+still reach the threshold is verified too. So no candidate is dropped by a cap.
 
 At similarity s a pair shares the first DEPTHS[0] values of an order with
 probability s ** 2: with 16 orders a pair at 0.85 is missed with probability
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm import common
@@ -35,8 +35,13 @@ VALUES = 96
 STEP = 6
 DEPTHS = (2, 4, 8, 16)
 # Sets in a region that are compared with each other; larger regions go deeper.
-REGION = 200
+REGION = 64
 SEED = 20
+# Values of the finer signature (one byte each), which only sets with neighbours get.
+FINE_VALUES = 512
+FINE_SEED = 21
+# Ids of sets with neighbours are broadcast up to this number (8 bytes each); beyond it the texts are shuffled.
+BROADCAST_IDS = 2_000_000
 _ROUND_LIMIT = 100
 
 _PREFIXES = ", ".join(f"k{i} long" for i in range(len(DEPTHS)))
@@ -67,17 +72,18 @@ def _sketch(width: int):
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors = common.odd_multipliers(FINE_VALUES, FINE_SEED)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                found = [
-                    common.as_long(np.unique(common.shingles(common.hashed_words(t.as_py()), width)))
-                    for t in part.column(1)
-                ]
+                sets = [np.unique(common.shingles(common.hashed_words(t.as_py()), width)) for t in part.column(1)]
+                fine = [(common.signature(x, factors) >> np.uint32(8)).astype(np.uint8).tobytes() if len(x) else None for x in sets]
+                found = [common.as_long(x) for x in sets]
                 flat = np.concatenate(found) if found else np.empty(0, np.int64)
                 ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["id", "hs"]
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(fine, pa.binary())],
+                    ["id", "hs", "fine"],
                 )
     return run
 
@@ -127,13 +133,13 @@ def _regions(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     part = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / REGION))
     dealt = live.select(F.xxhash64(key, part).alias("region"), "id", "least")
     members.append(dealt.select("region", "id"))
-    members.append(dealt.select("region", F.col("least").alias("id")))
+    members.append(dealt.select("region", F.col("least").alias("id")).distinct())
     regions, tied = members[0], live.select(F.col("least").alias("a"), F.col("above").alias("b"))
     for more in members[1:]:
         regions = regions.unionByName(more)
     for more in ties:
         tied = tied.unionByName(more)
-    return regions.distinct(), tied
+    return regions, tied
 
 
 def _distinct_pairs(pairs: DataFrame) -> DataFrame:
@@ -152,12 +158,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, share_percent: int) -> DataFram
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("ha", "hb"))
     union = F.size("ha") + F.size("hb") - shared
-    return both.filter(100 * shared >= share_percent * union).select("a", "b").distinct()
+    return both.filter(100 * shared >= share_percent * union).select("a", "b")
 
 
 def _similar_in_region(least_share: float):
     def pairs(ids, found, signatures):
-        values = np.frombuffer(b"".join(signatures), np.uint32).reshape(-1, VALUES)
+        values = np.frombuffer(b"".join(signatures), np.uint8).reshape(-1, FINE_VALUES)
         for i in range(len(ids) - 1):
             equal = (values[i + 1 :] == values[i]).mean(axis=1)
             for j in np.flatnonzero((equal >= least_share) & (found[i + 1 :] != found[i])):
@@ -193,38 +199,38 @@ def _similar_in_region(least_share: float):
 def _least_share(share_percent: int) -> float:
     """The share of equal signature values that a pair at the threshold stays above: 5.5 deviations below it."""
     s = share_percent / 100
-    return s - 5.5 * (s * (1 - s) / VALUES) ** 0.5
+    return s - 5.5 * (s * (1 - s) / FINE_VALUES) ** 0.5
 
 
 # --- components ------------------------------------------------------------------------------
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every node has one parent at most and no parent has one."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("parent"))
+    )
+    roles = ends.groupBy("node").agg(F.sum("child").alias("children"), F.max("parent").alias("parent"))
+    return roles.filter("children > 1 OR children + parent > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(id, root) for every node of the links (a, b): root is the smallest node reachable.
+    """(id, root) for every node of the links (a, b) but the roots: root is the smallest node reachable.
 
-    Large-star and small-star steps on staged tables until nothing changes; a
-    few steps for any shape, as each about halves the distance to the root.
-    The smallest neighbours are combined before the shuffle and joined from a
-    staged table, so that a node with very many links is split.
+    Large-star and small-star steps on staged tables until each node hangs at
+    its root; a few steps for any shape, as each about halves the distance. The
+    smallest neighbours are combined before the shuffle and joined from a staged
+    table, so that a node with very many links is split.
     """
-    edges = staged(
-        _distinct_pairs(links).select(F.col("a").alias("u"), F.col("b").alias("v")), "edges"
-    )
-    before = None
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v")
+    edges = staged(edges.distinct(), "edges")
     for _ in range(_ROUND_LIMIT):
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
-                edges.select(F.col("v").alias("id"), F.col("v").alias("root"))
-            ).distinct()
-        before = now
+        if _is_star_forest(edges):
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
         ends = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = staged(ends.groupBy("u").agg(F.min(F.least("u", "v")).alias("m")), "least")
-        edges = (
-            ends.filter(F.col("v") > F.col("u")).join(least, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
-        )
-        edges = staged(edges, "edges")
+        larger = ends.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = staged(larger.filter("u > v"), "edges")
         least = staged(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
         smaller = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = least.select("u", F.col("m").alias("v"))
@@ -261,38 +267,37 @@ def near_duplicates(
         rows.mapInArrow(_sketch(width), "id long, n long, f1 long, f2 long, sig binary"), "sketches"
     )
     nodes = sketches.filter("n > 0 AND id IS NOT NULL")
-    classes = staged(nodes.groupBy("f1", "f2").agg(F.min("id").alias("first")), "classes")
-    firsts = nodes.join(classes.select(F.col("first").alias("id"), "f1", "f2"), ["id", "f1", "f2"], "left_semi")
-    firsts = staged(firsts.select("id", "sig").distinct(), "first-signatures")
+    classes = staged(
+        nodes.groupBy("f1", "f2").agg(F.min("id").alias("first"), F.min_by("sig", "id").alias("sig")), "classes"
+    )
+    firsts = classes.select(F.col("first").alias("id"), "sig")
 
-    prefixes = firsts.mapInArrow(_prefix_rows, f"id long, {_PREFIXES}")
-    regions, ties = _regions(prefixes)
+    regions, ties = _regions(firsts.mapInArrow(_prefix_rows, f"id long, {_PREFIXES}"))
     regions = staged(regions, "forest")
     wanted = staged(regions.select("id").distinct(), "wanted")
-    texts = rows.join(wanted, "id", "left_semi")
-    sets = staged(texts.mapInArrow(_sets(width), "id long, hs array<long>"), "sets")
-
-    smallest = regions.groupBy("region").agg(F.min("id").alias("b"))
-    first_pairs = regions.select("region", F.col("id").alias("a")).join(smallest, "region").select("a", "b")
-    links = staged(_verified(_distinct_pairs(first_pairs.unionByName(ties)), sets, share_percent), "links-1")
-    found = staged(components(links), "components-1")
-
-    rooted = staged(
-        regions.join(found, "id", "left").select("region", "id", F.coalesce("root", "id").alias("root")), "rooted"
-    )
-    open_regions = rooted.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    unsettled = rooted.join(staged(open_regions.select("region"), "open-regions"), "region", "left_semi")
-    signed = unsettled.join(firsts, "id").select("region", "id", "root", "sig")
+    few = wanted.count() <= BROADCAST_IDS
+    texts = rows.join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
+    sets = staged(texts.mapInArrow(_sets(width), "id long, hs array<long>, fine binary"), "sets")
+
+    in_region = Window.partitionBy("region")  # a few more than REGION rows at most
+    firsts_met = regions.select(F.col("id").alias("a"), F.min("id").over(in_region).alias("b"))
+    tried = staged(_distinct_pairs(firsts_met.unionByName(ties)), "pairs-1")
+    links = staged(_verified(tried, sets, share_percent), "links-1")
+    found = components(links)
+
+    rooted = regions.join(found, "id", "left").select("region", "id", F.coalesce("root", "id").alias("root"))
+    spread = rooted.select("*", F.min("root").over(in_region).alias("lo"), F.max("root").over(in_region).alias("hi"))
+    signed = spread.filter("lo < hi").join(sets.select("id", "fine"), "id").select("region", "id", "root", "fine")
     pairs = (
         signed.repartition("region").sortWithinPartitions("region", "id")
         .mapInArrow(_similar_in_region(_least_share(share_percent)), "a long, b long")
     )
-    tried = _distinct_pairs(first_pairs.unionByName(ties))
-    pairs = _distinct_pairs(pairs).join(tried, ["a", "b"], "left_anti")
+    pairs = staged(_distinct_pairs(pairs).join(tried, ["a", "b"], "left_anti"), "pairs-2")
     more = staged(_verified(pairs, sets, share_percent), "links-2")
     roots = found
     if not more.isEmpty():
-        roots = staged(components(links.unionByName(more)), "components-2")
+        stars = found.select(F.col("id").alias("a"), F.col("root").alias("b"))
+        roots = components(stars.unionByName(more))
 
     same_set = sketches.join(classes, ["f1", "f2"], "left").select(
         "id", "n", F.when(F.col("n") > 0, F.coalesce("first", "id")).otherwise(F.col("id")).alias("first")
@@ -311,14 +316,15 @@ def near_duplicates(
 def _shared_ids(same_set: DataFrame, roots: DataFrame) -> DataFrame:
     """Roots after joining classes that meet in an id with several texts; the usual case has none."""
     nodes = same_set.filter("id IS NOT NULL")
-    several = nodes.groupBy("id").agg(F.min("first").alias("lo"), F.max("first").alias("hi")).filter("lo < hi").select("id")
-    meeting = staged(nodes.join(several, "id", "left_semi").select("id", "first"), "shared-ids")
-    if meeting.isEmpty():
+    several = nodes.groupBy("id").agg(F.min("first").alias("lo"), F.max("first").alias("hi")).filter("lo < hi")
+    several = staged(several.select("id"), "shared-ids")
+    if several.isEmpty():
         return roots
+    meeting = staged(nodes.join(several, "id", "left_semi").select("id", "first"), "shared-ids")
     links = roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(
         meeting.select(F.col("id").alias("a"), F.col("first").alias("b"))
     )
-    return staged(components(links), "components-3")
+    return components(links)
 
 
 def drop_near_duplicates(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
