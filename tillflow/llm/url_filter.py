@@ -13,6 +13,8 @@ GRAMS = (3, 4, 5)
 STEPS = 400
 RATE = 1.0
 RIDGE = 1e-4
+# The share of urls to block that is expected outside the table, whose classes are about even.
+BLOCK_PRIOR = 0.15
 # Rows of the labelled table that are trained on at most; the table is small by its nature.
 TRAINED_ROWS = 100_000
 
@@ -104,7 +106,8 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "label") -
     """Fits the model to a small table of urls and labels (1 block, 0 allow).
 
     At most TRAINED_ROWS rows are used, in order of the url. Nulls are left out;
-    without rows the model blocks nothing.
+    without rows the model blocks nothing. The bias is moved from the table's
+    share of blocked urls to BLOCK_PRIOR.
     """
     url = F.col(url_col)
     rows = (
@@ -126,7 +129,9 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "label") -
         slope = np.bincount(bucket_of, error[row_of] * values, BUCKETS) / len(found)
         weights -= RATE * 20 * (slope + RIDGE * weights)
         bias -= RATE * (error.mean() + RIDGE * bias)
-    return UrlModel(weights, bias)
+    here = np.clip(labels.mean(), 0.01, 0.99)
+    bias += np.log(BLOCK_PRIOR / (1 - BLOCK_PRIOR)) - np.log(here / (1 - here))
+    return UrlModel(weights, float(bias))
 
 
 def judge(
