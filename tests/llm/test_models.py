@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tests_llm_shared import check_packing, tokenizer
 
 from tillflow.llm import common, language_id, packing, quality_classifier, url_filter, warc
 from tillflow.llm.queries import QUERIES
@@ -17,41 +18,9 @@ DOCS = "doc_id long, text string"
 # --- packing ----------------------------------------------------------------------------
 
 
-def ids_of(text):
-    from tokenizers import Tokenizer
-
-    known = Tokenizer.from_file(packing.tokenizer_path())
-    known.encode_special_tokens = True
-    return known.encode(text or "", add_special_tokens=False).ids + [2]
-
-
 @pytest.mark.parametrize("text", ["", " ", "  a", "a  b\n \n c ", "it's I'LL 12é \u3000 a\x85b", "x <|endoftext|> y", "\x1c \x1d a"])
 def test_ids_are_those_of_the_tokenizer(text):
-    assert [*packing.ByteBpe(packing.tokenizer_path()).encode(text), 2] == ids_of(text)
-
-
-def check_packing(docs, rows, capacity=1024):
-    """Every id once, in pieces and sequences as promised."""
-    pieces, bins = {}, {}
-    for r in rows:
-        pieces.setdefault(r.doc_id, []).append(r)
-        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
-    assert set(pieces) == set(docs)
-    for doc, own in pieces.items():
-        ids, own = ids_of(docs[doc]), sorted(own, key=lambda r: r.piece)
-        assert [r.piece for r in own] == list(range(len(own))) and sum(r.length for r in own) == len(ids)
-        assert all(r.length == capacity for r in own[1:]) and len(own) == -(-len(ids) // capacity)
-        at = 0
-        for r in own:
-            assert r.start == at and r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
-            at += r.length
-    for own in bins.values():
-        at = 0
-        for offset, length in sorted(own):
-            assert offset == at
-            at += length
-        assert at <= capacity
-    return len(bins), sum(r.length for r in rows)
+    assert [*packing.ByteBpe(packing.tokenizer_path()).encode(text), 2] == [*tokenizer().encode(text, add_special_tokens=False).ids, 2]
 
 
 def test_packing_of_all_documents(spark):

@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from tests_llm_shared import brute_components
 
 import check
 from tillflow.llm import near_dedup
@@ -13,25 +14,8 @@ def run(frame, **more):
 
 
 def brute(docs, width, percent):
-    """All pairs and a plain search."""
-    sets = {}
-    for doc, text in docs:
-        words = (text or "").encode().lower().split()
-        sets[doc] = {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} or ({tuple(words)} if words else set())
-    root = {doc: doc for doc in sets}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    ids = sorted(sets)
-    for i, a in enumerate(ids):
-        for b in ids[i + 1 :]:
-            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-    return sorted(((d, len(sets[d]), find(d), find(d) == d) for d in ids), key=str)
+    roots = brute_components(dict(docs), width, percent)
+    return [(d, r, r == d) for d, r in sorted(roots.items())]
 
 
 def test_equals_sql(spark):
@@ -52,9 +36,12 @@ def test_chains_of_edits_equal_brute_force(spark, monkeypatch, width, percent, r
             words[(step * 7) % 120] = f"g{group}e{step}"
             docs.append((n, " ".join(words)))
             n += 1
+    n_first = n
     docs += [(n, "alone in the world"), (n + 1, None), (n + 2, ""), (n + 3, " \n"), (n + 4, "one two"), (n + 5, "ONE\ttwo")]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    assert run(frame, width=width, share_percent=percent) == brute(docs, width, percent)
+    found = run(frame, width=width, share_percent=percent)
+    assert sorted((d, root, kept) for d, _, root, kept in found) == brute(docs, width, percent)
+    assert {d: n for d, n, _, _ in found if d >= n_first} == {n: 2 if width == 3 else 1, n + 1: 0, n + 2: 0, n + 3: 0, n + 4: 1, n + 5: 1}
 
 
 def test_nulls_repeats_and_clashing_columns(spark):
