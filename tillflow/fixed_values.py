@@ -41,10 +41,8 @@ TOTAL_NEW_DEVICES = ("new_mid", "新增设备")
 TOTAL_ORDER_AMOUNT = ("order_amount", "新增交易额")
 
 # --- settings ----------------------------------------------------------------------
-SHORT_BATCH = "3 seconds"
 LONG_BATCH = "5 seconds"
 JOIN_WINDOW_SECONDS = 10
-JOIN_SLIDE_SECONDS = 5
 JOIN_CACHE_SECONDS = 60
 VISIT_TTL = "24 hours"
 JDBC_BATCH_ROWS = 100

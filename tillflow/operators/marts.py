@@ -32,6 +32,17 @@ def trademark_amount(wide: DataFrame) -> DataFrame:
     return wide.groupBy("tm_id", "tm_name").agg(sum_amount(F.col(_PAID)).alias("amount"))
 
 
+def amount_by_sku(wide: DataFrame, *more: str) -> DataFrame:
+    """Exact paid amount (decimal) per SKU and further columns.
+
+    Few rows for any number of lines, so brands are joined to these sums.
+    """
+    cents = sum_cents(to_cents(F.col(_PAID)))
+    return wide.groupBy(*more, "sku_id").agg(
+        (cents * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(38,2)").alias("amount")
+    )
+
+
 def trademark_stat(wide: DataFrame, stat_time: Column) -> DataFrame:
     """Report rows of one batch, stamped with a time handed in so that runs repeat."""
     cents = sum_cents(to_cents(F.col(_PAID)))
@@ -71,9 +82,12 @@ def order_amount_by_hour(wide: DataFrame) -> DataFrame:
 
 
 def hour_map(by_hour: DataFrame, value: str) -> DataFrame:
-    """Per day a map from hour text to value. A day has at most 24 hours to collect."""
+    """Per day a map from hour text to value. A day has at most 24 hours to collect.
+
+    Values without an hour (an unreadable time) are in no map.
+    """
     entry = F.struct(F.col("hr").cast("string"), F.col(value))
-    return by_hour.groupBy("dt").agg(
+    return by_hour.filter(F.col("hr").isNotNull()).groupBy("dt").agg(
         F.map_from_entries(F.collect_list(entry)).alias("by_hour")
     )
 

@@ -53,8 +53,8 @@ def _logs(spark, sf_dir) -> DataFrame:
     return a.app_logs(a.table(spark, sf_dir, "events"))
 
 
-def _enriched_orders(spark, sf_dir) -> DataFrame:
-    found = a.with_province(_orders(spark, sf_dir), a.table(spark, sf_dir, "customer"))
+def _enriched_orders(spark, sf_dir, rows: DataFrame | None = None) -> DataFrame:
+    found = a.with_province(_orders(spark, sf_dir) if rows is None else rows, a.table(spark, sf_dir, "customer"))
     provinces = a.province(a.table(spark, sf_dir, "nation"))
     return orders.add_user(orders.add_province(found, provinces), _users(spark, sf_dir))
 
@@ -65,15 +65,13 @@ def _paid(spark, sf_dir) -> DataFrame:
     return paid.drop("tm_id", "tm_name")
 
 
-def _paid_by_brand(spark, sf_dir) -> DataFrame:
-    """Allocated lines with their brand, joined after the allocation to keep that narrow."""
+def _by_brand(spark, sf_dir, by_sku: DataFrame) -> DataFrame:
+    """Sums per SKU with their brand; only sums are joined, never lines."""
     part = a.table(spark, sf_dir, "part")
     brand = a.sku_info(part).select(F.col("id").cast("bigint").alias("sku_id"), "tm_id").join(
         a.trademarks(part).withColumnRenamed("id", "tm_id"), "tm_id", "left"
     )
-    return _paid(spark, sf_dir).join(
-        brand.withColumn("tm_id", F.col("tm_id").cast("bigint")), "sku_id", "left"
-    )
+    return by_sku.join(brand.withColumn("tm_id", F.col("tm_id").cast("bigint")), "sku_id", "left")
 
 
 def _purchases(spark, sf_dir) -> DataFrame:
@@ -247,7 +245,7 @@ def detail_enriched(spark, sf_dir):
 
 @query
 def order_wide(spark, sf_dir):
-    flagged = orders.flag_first_orders(_enriched_orders(spark, sf_dir))
+    flagged = _enriched_orders(spark, sf_dir, orders.flag_first_orders(_orders(spark, sf_dir)))
     named = orders.add_sku(
         _details(spark, sf_dir),
         _skus(spark, sf_dir),
@@ -314,7 +312,8 @@ def order_running_sums(spark, sf_dir):
 
 @query
 def trademark_amount(spark, sf_dir):
-    return marts.trademark_amount(_paid_by_brand(spark, sf_dir))
+    sums = _by_brand(spark, sf_dir, marts.amount_by_sku(_paid(spark, sf_dir)))
+    return sums.groupBy("tm_id", "tm_name").agg(F.sum("amount").cast("double").alias("amount"))
 
 
 @query
@@ -340,16 +339,11 @@ def _window_texts(windows: DataFrame) -> DataFrame:
 
 @query
 def trademark_topn(spark, sf_dir):
-    stats = (
-        _paid_by_brand(spark, sf_dir)
-        .groupBy("dt", "tm_id", "tm_name")
-        .agg(marts.sum_amount(F.col("final_detail_amount")).alias("amount"))
-        .select(
-            F.col("dt").cast("timestamp").alias("stat_time"),
-            F.col("tm_id").cast("string").alias("trademark_id"),
-            F.col("tm_name").alias("trademark_name"),
-            F.col("amount").cast("decimal(38,2)").alias("amount"),
-        )
+    stats = _by_brand(spark, sf_dir, marts.amount_by_sku(_paid(spark, sf_dir), "dt")).select(
+        F.col("dt").cast("timestamp").alias("stat_time"),
+        F.col("tm_id").cast("string").alias("trademark_id"),
+        F.col("tm_name").alias("trademark_name"),
+        "amount",
     )
     return marts.top_trademarks(stats, TOP_START, TOP_END, TOP)
 

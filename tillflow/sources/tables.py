@@ -45,18 +45,14 @@ def append_jdbc(
 
 
 def replace_batch(rows: DataFrame, batch_id: int, path: str, by: list[str] | None = None) -> None:
-    """Writes a batch as its own partition, replacing what an earlier try left.
+    """Writes a batch as its own partition, replacing all that an earlier try left.
 
     This makes a ``foreachBatch`` sink idempotent: progress is in the query's
-    checkpoint, and a batch that is run again overwrites its own rows.
+    checkpoint, and a batch that is run again overwrites its own rows, also
+    where the new try has fewer partitions or none.
     """
-    (
-        rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH, *(by or []))
-        .parquet(path)
-    )
+    writer = rows.drop(BATCH).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*by) if by else writer).parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
 
 
 def append_rows(rows: DataFrame, path: str, by: list[str] | None = None) -> None:

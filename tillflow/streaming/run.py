@@ -22,7 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "hidden")
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     return tempfile.mkdtemp(prefix="tillflow-")
 
@@ -36,18 +37,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def _query_settings(spark: SparkSession):
     """Settings a query takes over when it starts; the session's own come back after.
 
-    State lives in RocksDB, on disk and outside the heap. More state partitions
-    than four per core only add open stores.
+    State lives in RocksDB, on disk and outside the heap. The session's number of
+    shuffle partitions is fixed in the checkpoint when a query first starts.
     """
-    wanted = {
-        "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
-        "spark.sql.shuffle.partitions": str(
-            min(
-                int(spark.conf.get("spark.sql.shuffle.partitions")),
-                4 * spark.sparkContext.defaultParallelism,
-            )
-        ),
-    }
+    wanted = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB}
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
         spark.conf.set(name, value)
