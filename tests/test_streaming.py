@@ -87,6 +87,14 @@ def test_first_order_flag_goes_to_the_first_to_arrive(feed, finish, rows):
     assert (1, "1") in as_set(orders.flag_first_orders(feed_.table(), known), "id", "if_first_order")
 
 
+def test_first_order_flag_with_unknown_times_and_ids(feed, finish):
+    feed_ = feed("orders", ORDERS)
+    feed_.add((3, 1, "2021-04-01"), (2, 1, None), (None, 1, "2021"), (4, 2, "2021"), (5, 2, "2020"))
+    got = as_set(finish(flag_first_orders_stream(feed_.stream())), "id", "if_first_order")
+    assert got == {(3, "0"), (2, "1"), (None, "0"), (4, "0"), (5, "1")}
+    assert got == as_set(orders.flag_first_orders(feed_.table()), "id", "if_first_order")
+
+
 def test_flag_with_state_in_a_table(feed, rows, spark, tmp_path):
     feed_ = feed("orders", ORDERS)
     state, out = f"{tmp_path}/state", f"{tmp_path}/flags"
@@ -202,6 +210,32 @@ def test_allocation_with_its_sums_in_a_table(feed, spark, tmp_path, hot_rows):
     }
 
 
+WIDE = "order_id bigint, order_detail_id bigint, sku_price double, sku_num bigint, final_total_amount double, original_total_amount double, final_detail_amount double"
+
+
+def test_one_rule_for_stream_and_batch_whatever_the_ids(feed, finish, spark, tmp_path):
+    """Repeated and missing line ids, and lines that arrive in falling order."""
+    lines = feed("wide", WIDE)
+    ids = [9, 9, 9, 5, 4, 4, 3, None, None, None]
+    lines.add(*[(1, n, 10.0, 1, 66.66, 100.0, 0.0) for n in ids])
+    expected = sorted((str(n), 6.67) for n in ids if n != 9) + [("9", 6.63), ("9", 6.67), ("9", 6.67)]
+    seed_sums(spark, f"{tmp_path}/state")
+    forms = [finish(allocate_stream(lines.stream())), *[allocation.allocate(lines.table(), hot_rows=h) for h in (10**6, 3)],
+             *[allocate_batch(lines.table(), 0, f"{tmp_path}/state", h) for h in (10**6, 3)]]
+    for shares in forms:
+        got = [(str(r.order_detail_id), r.final_detail_amount) for r in shares.collect()]
+        assert sorted(got) == sorted(expected)
+
+
+def test_a_very_long_order_is_handled_by_line_id(spark):
+    from pyspark.sql import Row
+
+    from tillflow.streaming.allocation import _in_line_order
+
+    lines = (Row(order_detail_id=n, sku_price=1.0, sku_num=1) for n in range(100_001, 0, -1))
+    assert [line.order_detail_id for line in _in_line_order(lines)] == list(range(1, 100_002))
+
+
 def test_windows_come_out_behind_the_watermark(feed, finish):
     events = feed("events", "at string, k int, paid double")
     events.add(("2021-01-01 00:10:00", 1, 1.0), ("2021-01-01 00:50:00", 1, 2.0))
@@ -351,9 +385,11 @@ def test_jdbc_options(rows, monkeypatch):
     class Rows:
         write = Writer()
 
-    tables.append_jdbc(Rows(), "jdbc:x", "order_wide", driver="d")
+    tables.append_jdbc(Rows(), "jdbc:x", "order_wide", partitions=4, driver="d")
     assert seen["mode"] == ("append",) and seen["format"] == ("jdbc",)
     assert seen["options"] == {
         "url": "jdbc:x", "dbtable": "order_wide", "batchsize": "100", "numPartitions": "4",
         "isolationLevel": "NONE", "driver": "d",
     }
+    tables.append_jdbc(Rows(), "jdbc:x", "order_wide")
+    assert "numPartitions" not in seen["options"]

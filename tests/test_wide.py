@@ -106,6 +106,31 @@ def test_hot_keys_are_bounded_and_the_split_is_whole(rows):
     assert as_set(hot) == {(1,)}
     few, many = split_hot(frame, hot, ["k"])
     assert many.count() == 50 and few.count() == 29
+    without = frame.unionByName(rows("k int, v int", *[(None, i) for i in range(40)]))
+    hot = hot_keys(without, ["k"], 10)
+    few, many = split_hot(without, hot, ["k"])
+    assert as_set(hot) == {(1,), (None,)} and many.count() == 91 and few.count() == 28
+
+
+def test_lines_without_an_order_are_kept_whatever_the_branch(rows):
+    orders = rows(ORDER, (1, 10.0, ts(1)), (None, 5.0, ts(1)))
+    lines = rows(LINE, *[(f"l{i}", None, 1.0, 1, ts(1)) for i in range(20)], ("m", 1, 1.0, 1, ts(1)))
+    for hot_rows in (10**6, 5, 0):
+        got = [(r.order_detail_id, r.order_id) for r in wide.join_sales(orders, lines, hot_rows=hot_rows).collect()]
+        assert sorted(got, key=str) == sorted([(f"l{i}", None) for i in range(20)] + [("m", "1"), (None, None)], key=str)
+        paid = allocation.allocate(wide.join_lines(orders, lines, how="left"), hot_rows=hot_rows)
+        sums = allocation.running_sums(paid, hot_rows=hot_rows)
+        assert as_set(sums, "order_detail_id", "origin_before") == {(f"l{i}", None) for i in range(0)} | {
+            ("m", 0.0), *[(f"l{n}", float(k)) for k, n in enumerate(sorted(range(20), key=lambda i: f"l{i}"))]
+        }
+
+
+def test_a_repeated_last_line_leaves_the_rest_once(rows):
+    orders = rows(ORDER, (1, 10.0, ts(1)))
+    lines = rows(LINE, ("a", 1, 1.0, 1, ts(1)), ("b", 1, 1.0, 1, ts(1)), ("b", 1, 1.0, 1, ts(1)))
+    for hot_rows in (10**6, 0):
+        got = allocation.paid_lines(orders, lines, hot_rows).collect()
+        assert sorted(r.final_detail_amount for r in got) == [3.33, 3.33, 3.34]
 
 
 def test_sales_keep_each_pair_once_and_all_unmatched(crowd):

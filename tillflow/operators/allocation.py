@@ -3,8 +3,10 @@
 Every line gets ``round(amount * paid / sum of amounts)``, and the last line of
 the order gets what is left, so the shares of an order always add up to the
 amount paid. The sum of amounts is taken over the lines themselves, so a wrong
-stored total cannot break this. Line ids must be unique (``distinct_by_id``),
-amounts not negative.
+stored total cannot break this. Lines are ordered by id, then by price and
+number, NULLs first, so a line that occurs twice has one place for each copy and
+one copy is the last; ``distinct_by_id`` removes copies. Amounts must not be
+negative.
 
 An order whose lines are all free has no ratio: its last line gets everything.
 """
@@ -14,11 +16,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillflow.functions.money import from_cents, share_cents, to_cents
-from tillflow.operators.skew import HOT_ROWS, hot_keys, split_hot
+from tillflow.operators.skew import HOT_ROWS, hot_keys, join_by_key, split_hot
 from tillflow.operators.wide import join_lines
 
 _ORDER = "order_id"
 _LINE = "order_detail_id"
+# The order of an order's lines. Rows equal in all three have equal shares.
+_BY_LINE = (_LINE, "sku_price", "sku_num")
 
 
 def line_cents() -> Column:
@@ -40,7 +44,7 @@ def _with_share(rows: DataFrame, is_last: Column, share_sum: Column) -> DataFram
 
 def allocate_in_windows(wide: DataFrame) -> DataFrame:
     """Shares by windows over each order: one shuffle, shared with the join before it."""
-    order = W.partitionBy(_ORDER).orderBy(_LINE)
+    order = W.partitionBy(_ORDER).orderBy(*_BY_LINE)
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     amount, share = F.col("_amount"), F.col("_share")
     summed = wide.select("*", line_cents().alias("_amount")).select(
@@ -57,21 +61,28 @@ def allocate_by_sums(wide: DataFrame) -> DataFrame:
     """The same shares for orders with very many lines, which no task could hold.
 
     Sums are combined before the shuffle and go back to the lines by broadcast.
-    There is one row of sums per hot order, so at most ``MAX_HOT_KEYS``.
+    There is one row of sums per hot order, so at most ``MAX_HOT_KEYS``. The last
+    line may occur more than once; to take one of its copies the lines are dealt
+    by order and line.
     """
+    line = F.struct(*_BY_LINE)
     lines = wide.withColumn("_amount", line_cents())
     sums = lines.groupBy(_ORDER).agg(
-        F.sum("_amount").alias("_sum"), F.max(_LINE).alias("_last")
+        F.sum("_amount").alias("_sum"), F.max(line).alias("_last")
     )
-    shared = lines.join(F.broadcast(sums), _ORDER).withColumn(
+    shared = join_by_key(lines, sums, [_ORDER], small=True).withColumn(
         "_share", share_cents(F.col("_amount"), F.col("_sum"), paid_cents())
     )
     share_sums = shared.groupBy(_ORDER).agg(F.sum("_share").alias("_share_sum"))
+    copies = W.partitionBy(_ORDER, *_BY_LINE).orderBy(_LINE)
+    counted = join_by_key(shared, share_sums, [_ORDER], small=True).withColumn(
+        "_copy", F.row_number().over(copies)
+    )
     return _with_share(
-        shared.join(F.broadcast(share_sums), _ORDER),
-        is_last=F.col(_LINE) == F.col("_last"),
+        counted,
+        is_last=line.eqNullSafe(F.col("_last")) & (F.col("_copy") == 1),
         share_sum=F.col("_share_sum"),
-    ).drop("_amount", "_share", "_sum", "_last", "_share_sum")
+    ).drop("_amount", "_share", "_sum", "_last", "_share_sum", "_copy")
 
 
 def allocate(
@@ -93,7 +104,7 @@ def paid_lines(orders: DataFrame, lines: DataFrame, hot_rows: int = HOT_ROWS) ->
 
     The lines are split before the join. Ordinary orders are joined and
     allocated on one shuffle by order id; hot orders are few by construction
-    and are broadcast to their lines, which then never move.
+    and are broadcast to their lines, which are never dealt by order.
     """
     hot = hot_keys(lines, [_ORDER], hot_rows)
     few, many = split_hot(lines, hot, [_ORDER])
@@ -111,10 +122,10 @@ _MAX_RANGES = 1024
 
 
 def _sums_before(
-    rows: DataFrame, keys: list[str], order: str, names: tuple[str, ...], prefix: str
+    rows: DataFrame, keys: list[str], order: tuple[str, ...], names: tuple[str, ...], prefix: str
 ) -> DataFrame:
     before = (
-        W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow - 1)
+        W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow - 1)
     )
     return rows.withColumns(
         {f"{prefix}{n}": F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)) for n in names}
@@ -133,13 +144,13 @@ def _cut_into_ranges(rows: DataFrame, hot_rows: int) -> DataFrame:
     step = F.greatest(
         F.ceil(F.col("_lines") / F.lit(_MAX_RANGES)), F.lit(max(hot_rows // 4, 1))
     )
-    picked = rows.select(_ORDER, _LINE).join(F.broadcast(sizes), _ORDER).filter(
+    picked = join_by_key(rows.select(_ORDER, _LINE), sizes, [_ORDER], small=True).filter(
         F.pmod(F.xxhash64(_LINE), step) == 0
     )
     cuts = picked.groupBy(_ORDER).agg(F.collect_set(_LINE).alias("_cuts"))
     passed = F.filter("_cuts", lambda cut: cut <= F.col(_LINE))
     return (
-        rows.join(F.broadcast(cuts), _ORDER, "left")
+        join_by_key(rows, cuts, [_ORDER], "left", small=True)
         .withColumn("_range", F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(passed)))
         .drop("_cuts")
     )
@@ -155,17 +166,17 @@ def sums_before(
     to the running sums inside each.
     """
     few, many = split_hot(rows, hot, [_ORDER])
-    ordinary = _sums_before(few, [_ORDER], _LINE, names, "_before_")
+    ordinary = _sums_before(few, [_ORDER], _BY_LINE, names, "_before_")
 
     ranged = _cut_into_ranges(many, hot_rows)
     range_sums = ranged.groupBy(_ORDER, "_range").agg(
         *[F.sum(f"_{n}").alias(f"_{n}") for n in names]
     )
-    earlier = _sums_before(range_sums, [_ORDER], "_range", names, "_base_").drop(
+    earlier = _sums_before(range_sums, [_ORDER], ("_range",), names, "_base_").drop(
         *[f"_{n}" for n in names]
     )
-    inside = _sums_before(ranged, [_ORDER, "_range"], _LINE, names, "_in_")
-    crowded = inside.join(earlier, [_ORDER, "_range"]).withColumns(
+    inside = _sums_before(ranged, [_ORDER, "_range"], _BY_LINE, names, "_in_")
+    crowded = join_by_key(inside, earlier, [_ORDER, "_range"]).withColumns(
         {f"_before_{n}": F.col(f"_base_{n}") + F.col(f"_in_{n}") for n in names}
     )
     return ordinary.unionByName(crowded.select(*ordinary.columns))

@@ -140,8 +140,11 @@ def order_split_amount_batch_stream(spark, sf_dir):
 
     def write(batch, batch_id):
         batch.persist()
-        replace_batch(allocate_batch(batch, batch_id, f"{folder}/state"), batch_id, f"{folder}/rows")
-        batch.unpersist()
+        try:
+            paid = allocate_batch(batch, batch_id, f"{folder}/state")
+            replace_batch(paid, batch_id, f"{folder}/rows")
+        finally:
+            batch.unpersist()
 
     start_batches(joined, write, f"{folder}/checkpoint").awaitTermination()
     return spark.read.schema(joined.schema).parquet(f"{folder}/rows").select(*_SPLIT)

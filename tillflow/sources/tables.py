@@ -26,20 +26,21 @@ def append_jdbc(
     url: str,
     table: str,
     batch_rows: int = fv.JDBC_BATCH_ROWS,
-    partitions: int = fv.JDBC_PARTITIONS,
+    partitions: int | None = None,
     **properties: str,
 ) -> None:
     """Appends rows over JDBC in batches, without a transaction.
 
-    ``partitions`` bounds the connections, not the memory: Spark merges
-    partitions and streams them.
+    ``partitions`` bounds the connections by merging tasks, for a database that
+    takes no more; without it every task has its own.
     """
+    connections = {"numPartitions": str(partitions)} if partitions else {}
     rows.write.format("jdbc").mode("append").options(
         url=url,
         dbtable=table,
         batchsize=str(batch_rows),
-        numPartitions=str(partitions),
         isolationLevel="NONE",
+        **connections,
         **properties,
     ).save()
 

@@ -2,7 +2,6 @@
 
 import math
 from collections.abc import Iterator
-from itertools import islice
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,17 +15,20 @@ from tillflow.sources.tables import BATCH, replace_batch
 _SHARE = "final_detail_amount"
 _SUMS = ("origin", "split", "lines")
 _STATE = f"order_id bigint, origin bigint, split bigint, lines bigint, {BATCH} bigint"
-_SORTED_AT_ONCE = 100_000
 
 
 def _cents(amount: float) -> int:
     return math.floor(amount * 100 + 0.5)
 
 
-def _in_line_order(rows: Iterator[Row]) -> Iterator[Row]:
-    """Lines of one batch by id. A very large batch is sorted piece by piece."""
-    while piece := list(islice(rows, _SORTED_AT_ONCE)):
-        yield from sorted(piece, key=lambda line: line.order_detail_id)
+def _in_line_order(rows: Iterator[Row]) -> list[Row]:
+    """Lines of one order and batch by id, price and number, NULLs first, as in the batch operators."""
+
+    def place(line: Row) -> tuple:
+        values = (line.order_detail_id, line.sku_price, line.sku_num)
+        return tuple(part for v in values for part in (v is not None, v if v is not None else 0))
+
+    return sorted(rows, key=place)
 
 
 class _Allocation(StatefulProcessor):
@@ -70,8 +72,9 @@ def allocate_stream(wide: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     and all shares are by ratio. With ``ttl_ms`` the sums of an order are
     forgotten that long after its last line.
 
-    Orders are small groups, for which rows cost a quarter of a data frame per
-    order; an order with very many lines passes through without being held.
+    A task holds the lines that one order has in one micro-batch, to sort them.
+    Where an order may bring more than fits, use ``allocate_batch``, the default
+    of the jobs: it has the same rule and no such group.
     """
     return wide.groupBy("order_id").transformWithState(
         statefulProcessor=_Allocation(ttl_ms),

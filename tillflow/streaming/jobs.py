@@ -127,13 +127,14 @@ def start_orders(
     house: Warehouse,
     known: DataFrame | None = None,
     every: str | None = None,
-    state_in_table: bool = False,
+    state_in_table: bool = True,
 ) -> StreamingQuery:
     """Orders with dates, first-order flag, province and user, as keyed messages.
 
     Also keeps the table of users who have ordered. ``known`` are users who
     ordered before the job's first start. With ``state_in_table`` that table is
-    the state itself, for feeds where one user may bring much of a batch.
+    the state itself, so one user may bring much of a batch; without it the state
+    store holds a mark per user.
     """
     rows = orders.add_order_dates(parse_records(messages, schemas.ORDER_INFO))
     state = house.table("user_state")
@@ -146,20 +147,22 @@ def start_orders(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
-        if state_in_table:
-            flagged = flag_batch(batch, batch_id, state)
-        else:
-            flagged = batch
-            replace_batch(orders.new_customers(batch), batch_id, state)
-        full = orders.add_user(
-            orders.add_province(flagged, house.dimension(spark, "base_province")),
-            house.dimension(spark, "user_info"),
-        )
-        replace_batch(
-            to_messages(full, fv.TOPIC_ORDER_INFO, key="id"), batch_id, house.topics("dwd_order"),
-            by=["topic"],
-        )
-        batch.unpersist()
+        try:
+            if state_in_table:
+                flagged = flag_batch(batch, batch_id, state)
+            else:
+                flagged = batch
+                replace_batch(orders.new_customers(batch), batch_id, state)
+            full = orders.add_user(
+                orders.add_province(flagged, house.dimension(spark, "base_province")),
+                house.dimension(spark, "user_info"),
+            )
+            replace_batch(
+                to_messages(full, fv.TOPIC_ORDER_INFO, key="id"), batch_id,
+                house.topics("dwd_order"), by=["topic"],
+            )
+        finally:
+            batch.unpersist()
 
     return start_batches(rows, write, house.checkpoint("dwd_order"), every)
 
@@ -190,15 +193,15 @@ def start_wide(
     delay: str = "1 minute",
     ttl_ms: int | None = None,
     salts: int = 1,
-    sums_in_table: bool = False,
+    sums_in_table: bool = True,
     also: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Both feeds without repeats, joined, allocated; to messages and to the mart.
 
     ``also`` gets every batch as well, for example to append it over JDBC. With
-    ``sums_in_table`` the sums per order are kept in a table instead of the state
-    store; that and ``salts`` are for feeds where one order may bring much of a
-    batch.
+    ``sums_in_table`` the sums per order are kept in a table, else in the state
+    store, where ``ttl_ms`` lets them expire. That table and ``salts`` are for
+    feeds where one order may bring much of a batch.
     """
     joined = join_lines_stream(
         parse_records(order_messages, schemas.ENRICHED_ORDER),
@@ -215,16 +218,19 @@ def start_wide(
         rows = allocate_stream(joined, ttl_ms)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        paid = allocate_batch(batch, batch_id, sums).persist() if sums_in_table else batch
-        replace_batch(
-            to_messages(paid, fv.TOPIC_ORDER_WIDE), batch_id, house.topics("dws"), by=["topic"]
-        )
-        replace_batch(paid, batch_id, house.table("order_wide"), by=["dt"])
-        if also:
-            also(paid)
-        paid.unpersist()
-        batch.unpersist()
+        paid = batch.persist()
+        try:
+            if sums_in_table:
+                paid = allocate_batch(batch, batch_id, sums).persist()
+            replace_batch(
+                to_messages(paid, fv.TOPIC_ORDER_WIDE), batch_id, house.topics("dws"), by=["topic"]
+            )
+            replace_batch(paid, batch_id, house.table("order_wide"), by=["dt"])
+            if also:
+                also(paid)
+        finally:
+            paid.unpersist()
+            batch.unpersist()
 
     return start_batches(rows, write, house.checkpoint("dws"), every)
 

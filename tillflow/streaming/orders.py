@@ -18,6 +18,12 @@ def _flagged(order: Row, flag: str) -> Row:
     return Row(**order.asDict(), **{_FLAG: flag})
 
 
+def _place(order: Row) -> tuple:
+    """By time, then id, NULLs first, as in ``first_orders``."""
+    at, number = order.create_time, order.id
+    return (at is not None, at or "", number is not None, number or 0)
+
+
 class _FirstOrder(StatefulProcessor):
     """Per user one mark: has ordered before."""
 
@@ -37,7 +43,7 @@ class _FirstOrder(StatefulProcessor):
                 yield _flagged(order, fv.LATER_ORDER)
             elif held is None:
                 held = order
-            elif (order.create_time, order.id) < (held.create_time, held.id):
+            elif _place(order) < _place(held):
                 yield _flagged(held, fv.LATER_ORDER)
                 held = order
             else:
