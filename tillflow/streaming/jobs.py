@@ -6,7 +6,8 @@ from Kafka or a topic folder; progress and state live in the checkpoint. Without
 
 Output of the order jobs goes through ``foreachBatch``: the dimension tables are
 read anew for every batch, so their updates are seen, and every batch replaces
-its own partition of the output, so a batch that is run again does no harm.
+its own partition of the output. A job that reads the output as a topic takes a
+batch that was run again for new input.
 """
 
 from collections.abc import Callable
