@@ -93,3 +93,33 @@ def test_nested_log_and_its_message(rows):
 def test_words_are_whole_and_of_any_script(rows):
     frame = rows("t string", ("A Red hat",), ("bored",), ("écred",), ("x,red.",), ("red",), ("redé",), (None,))
     assert values(frame, text.has_word(F.col("t"), "red")) == [True, False, False, True, True, False, None]
+
+
+ODD = [
+    '"text"', "5", "[1]", "null", "[]", '[{"id":1},{"id":2}]', '[{"id":1}]', '{"id":1} trailing', '{"id":1},{"id":2}',
+    '{"id":1}]', '{"id":1', "", " ", None, "{broken", "true", '{"id":1}] [{"id":2}',
+]
+SOUND = ['{"id":1}', ' {"id":"2"} ', "{}", '{"id":null}', '{"id":"x"}', '{"common":"x","id":3}']
+
+
+def test_records_and_rejects_are_complements(rows):
+    messages = rows("key string, value string", *[(str(i), t) for i, t in enumerate([*ODD, *SOUND])])
+    left_out = records.rejects(messages, ORDER_INFO)
+    assert sorted(int(r.key) for r in left_out.collect()) == list(range(len(ODD)))
+    taken = records.parse_records(messages, ORDER_INFO, keep=["key"])
+    assert {r.key: r.id for r in taken.collect()} == {
+        str(len(ODD) + i): n for i, n in enumerate([1, 2, None, None, None, 3])
+    }
+    repeated = rows("key string, value string", ("a", '{"id":1,"id":2}'))
+    assert records.parse_records(repeated, ORDER_INFO).count() + records.rejects(repeated, ORDER_INFO).count() == 1
+
+
+def test_a_required_field_must_be_readable(rows):
+    needs = {"id": "bigint", "create_time": "timestamp"}
+    messages = rows(
+        "value string",
+        ('{"id":"1","create_time":"2021-04-08 10:00:00"}',), ('{"id":"1","create_time":"soon"}',),
+        ('{"id":"x","create_time":"2021-04-08 10:00:00"}',), ('{"create_time":"2021-04-08 10:00:00"}',), ("5",),
+    )
+    assert records.parse_records(messages, ORDER_INFO, required=needs).count() == 1
+    assert records.rejects(messages, ORDER_INFO, required=needs).count() == 4

@@ -5,6 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tillflow.functions.records import parse_records
+from tillflow.schemas import ORDER_INFO
 from tillflow.operators import allocation, marts, orders, visits, wide
 from tillflow.plans import adapters as a
 from tillflow.plans.catalog import QUERIES
@@ -112,3 +114,9 @@ def test_skewed_join_is_split(spark, settings):
         joined = wide.join_lines(o, lines, how=how)
         assert joined.count() == 40_000
         assert "skew=true" in final_plan(joined)
+
+
+def test_one_parse_per_message(rows):
+    messages = rows("value string", ("{}",))
+    needs = {"id": "bigint", "create_time": "timestamp"}
+    assert plan(parse_records(messages, ORDER_INFO, required=needs)).count("from_json") == 1

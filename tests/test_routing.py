@@ -51,3 +51,15 @@ def test_log_split(rows):
     texts = ['{"start":{"e":1}}', '{"start":"x"}', '{"start":""}', '{"start":null}', '{"page":1}', '{"start":{}}']
     topics = [r.topic for r in split_app_log(messages(rows, *texts), "S", "E").collect()]
     assert topics == ["S", "S", "E", "E", "E", "S"]
+
+
+def test_routed_messages_carry_the_time_of_the_change(rows):
+    maxwell = '{"table":"spu_info","type":"update","ts":7,"data":{"id":1}}'
+    canal = '{"table":"spu_info","es":7000,"data":[{"id":1}]}'
+    bare = '{"table":"spu_info","type":"update","data":[{"id":1}]}'
+    feed = rows("value string, at bigint, position bigint", (maxwell, 5, 9))
+    assert tuple(route_maxwell(feed).select("at", "position").first()) == (7000, 9)
+    assert tuple(route_maxwell(messages(rows, maxwell)).select("at", "position").first()) == (7000, None)
+    assert tuple(route_canal(messages(rows, canal)).select("at", "position").first()) == (7000, None)
+    late = rows("value string, at bigint, position bigint", (bare, 5, 9))
+    assert tuple(route_canal(late).select("at", "position").first()) == (5, 9)

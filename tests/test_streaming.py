@@ -393,3 +393,66 @@ def test_jdbc_options(rows, monkeypatch):
     }
     tables.append_jdbc(Rows(), "jdbc:x", "order_wide")
     assert "numPartitions" not in seen["options"]
+
+
+def test_last_write_wins_inside_a_batch_and_across_batches(spark, rows, tmp_path):
+    house, incoming = jobs.Warehouse(f"{tmp_path}/house"), f"{tmp_path}/in"
+    assert house.dimension(spark, "spu_info").count() == 0
+
+    def version(name, at, position):
+        return (json.dumps({"id": "1", "spu_name": name}), at, position)
+
+    def go(*changes):
+        schema = "value string, at bigint, position bigint"
+        rows(schema, *changes).write.mode("append").parquet(incoming)
+        feed = spark.readStream.schema(schema).parquet(incoming)
+        jobs.start_dimension(feed, schemas.SPU_INFO, house, "spu_info").awaitTermination()
+        return house.dimension(spark, "spu_info")
+
+    assert as_set(go(*[version(f"v{n}", 1000, n) for n in (5, 0, 3, 9, 1)], ("5", 0, 0), ('{"spu_name":"x"}', 0, 0))) == {("1", "v9")}
+    assert as_set(house.rejects(spark, "spu_info"), "value") == {("5",), ('{"spu_name":"x"}',)}
+    assert as_set(go(version("old", 900, 99))) == {("1", "v9")}
+    assert as_set(go(version("new", 1001, 0))) == {("1", "new")}
+
+
+def test_messages_of_a_folder_have_the_order_of_their_file(spark, rows, tmp_path):
+    house, root = jobs.Warehouse(f"{tmp_path}/house"), f"{tmp_path}/topics"
+    changes = [("T", json.dumps({"id": "1", "spu_name": f"v{n}"})) for n in (3, 1, 7, 2, 5)]
+    topics.write_topics(rows("topic string, value string", *changes).coalesce(1), root)
+    feed = topics.read_topic_stream(spark, root, "T")
+    jobs.start_dimension(feed, schemas.SPU_INFO, house, "spu_info").awaitTermination()
+    assert as_set(house.dimension(spark, "spu_info")) == {("1", "v5")}
+
+
+@pytest.mark.parametrize("in_tables", [False, True])
+def test_jobs_without_dimensions_with_rejects_and_a_publisher(spark, rows, tmp_path, in_tables):
+    house, incoming, sent = jobs.Warehouse(f"{tmp_path}/house"), f"{tmp_path}/in", []
+    good = json.dumps({"id": "1", "user_id": "4", "province_id": "5", "create_time": "2021-04-08 10:00:00"})
+    bad = ["[1]", '{"user_id":"4"}', "{broken", '{"id":"x"}']
+    rows("value string", (good,), *[(b,) for b in bad]).write.parquet(incoming)
+
+    def feed():
+        return spark.readStream.schema("value string").parquet(incoming)
+
+    def publish(batch):
+        sent.extend(batch.collect())
+
+    jobs.start_orders(feed(), house, state_in_table=in_tables, publish=publish).awaitTermination()
+    if not in_tables:
+        jobs.start_rejects(feed(), schemas.ORDER_INFO, house, "dwd_order", {"id": "bigint"}).awaitTermination()
+    assert [(r.topic, r.key, json.loads(r.value)["if_first_order"]) for r in sent] == [("DWD_ORDER_INFO", "1", "1")]
+    assert as_set(house.rejects(spark, "dwd_order"), "value") == {(b,) for b in bad}
+    routed = []
+    jobs.start_router(feed(), split_app_log, house, "log", publish=lambda b: routed.extend(b.collect())).awaitTermination()
+    assert len(routed) == 1 + len(bad)
+
+
+def test_preview_with_a_timed_trigger(spark, feed, capfd):
+    numbers = feed("numbers", "id bigint")
+    numbers.add((4711,))
+    query = run.start_preview(numbers.stream(), "1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert query.exception() is None and query.lastProgress["sink"]["numOutputRows"] >= 0

@@ -1,8 +1,10 @@
 """JSON messages to records and back."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 
 def is_json(text: Column) -> Column:
@@ -10,7 +12,8 @@ def is_json(text: Column) -> Column:
     return F.try_parse_json(text).isNotNull()
 
 
-_BROKEN = "_broken"
+_END = "_end"
+_AFTER = f',{{"{_END}":"{_END}"}}]'
 
 
 def _text_schema(schema: StructType) -> StructType:
@@ -18,37 +21,74 @@ def _text_schema(schema: StructType) -> StructType:
         StructField(f.name, f.dataType if isinstance(f.dataType, StructType) else StringType())
         for f in schema.fields
     ]
-    return StructType([*fields, StructField(_BROKEN, StringType())])
+    return StructType([*fields, StructField(_END, StringType())])
+
+
+def _record(value: str, schema: StructType, required: dict[str, str]) -> Column:
+    """An array with the record of a message, empty where the message isn't one.
+
+    A record is one JSON object and nothing else. The reader stops behind the
+    first JSON value, so the text is read as the first element of an array that
+    goes on with a mark: only a text that is one whole value leaves the mark in
+    second place. A filtered one-element array keeps it to one parse a message.
+    """
+    text = F.concat(F.lit("["), F.col(value), F.lit(_AFTER))
+    read = F.from_json(text, ArrayType(_text_schema(schema)))
+
+    def sound(parts: Column) -> Column:
+        first, mark = F.get(parts, 0), F.get(parts, 1)
+        passes = (F.size(parts) == 2) & first.isNotNull() & (mark[_END] == _END)
+        for name, kind in required.items():
+            passes = passes & first[name].try_cast(kind).isNotNull()
+        return passes
 
+    whole = F.filter(F.array(read), sound)
+    return F.flatten(F.transform(whole, lambda parts: F.slice(parts, 1, 1)))
 
-def parse_records(messages: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """JSON messages to rows of ``schema``. Broken messages are left out; see ``malformed``.
+
+def parse_records(
+    messages: DataFrame,
+    schema: StructType,
+    value: str = "value",
+    required: dict[str, str] | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """JSON messages to rows of ``schema``, and the columns ``keep`` of the message.
+
+    Left out are messages that aren't one JSON object, and those without a
+    readable ``required`` field (name to type); ``rejects`` has just these.
 
     Change events quote their numbers, and the JSON reader gives NULL for a
     quoted number under a numeric type. So every field is read as text and cast
     after, which also keeps bad text from failing the job.
 
-    ``inline`` over a filtered one-element array keeps it to one parse per
-    message: a plain filter would be pushed below the projection and parse the
-    text a second time.
+    ``inline`` keeps it to one parse per message: a plain filter would be pushed
+    below the projection and parse the text a second time.
     """
-    read = F.from_json(
-        F.col(value), _text_schema(schema), {"columnNameOfCorruptRecord": _BROKEN}
-    )
-    sound = F.filter(F.array(read), lambda r: r.isNotNull() & r[_BROKEN].isNull())
-    rows = messages.select(F.inline(sound))
+    rows = messages.select(*keep, F.inline(_record(value, schema, required or {})))
     return rows.select(
         *[
             F.col(f.name)
             if isinstance(f.dataType, (StructType, StringType))
             else F.col(f.name).try_cast(f.dataType).alias(f.name)
             for f in schema.fields
-        ]
+        ],
+        *keep,
     )
 
 
+def rejects(
+    messages: DataFrame,
+    schema: StructType,
+    value: str = "value",
+    required: dict[str, str] | None = None,
+) -> DataFrame:
+    """The messages ``parse_records`` leaves out, as they came. Together they are all messages."""
+    return messages.filter(F.size(_record(value, schema, required or {})) == 0)
+
+
 def malformed(messages: DataFrame, value: str = "value") -> DataFrame:
-    """The messages that are not JSON, as they came."""
+    """The messages that are not JSON of any kind, as they came; for typed records see ``rejects``."""
     return messages.filter(~is_json(F.col(value)))
 
 

@@ -24,15 +24,28 @@ def ods_topic(table: Column) -> Column:
     return F.concat(F.lit(fv.ODS_PREFIX), F.upper(table))
 
 
+def _places(messages: DataFrame) -> list[Column]:
+    """Time and position of the incoming messages; missing ones are NULL."""
+    return [
+        F.col(name) if name in messages.columns else F.lit(None).cast("bigint").alias(name)
+        for name in ("at", "position")
+    ]
+
+
 def route_canal(messages: DataFrame) -> DataFrame:
     """One message per element of ``data[]``; the change type is not looked at.
 
-    A message without ``data`` gives no row.
+    A message without ``data`` gives no row. ``at`` is the time of the change.
     """
-    change = F.from_json(F.col("value"), "`table` string, data array<string>")
+    change = F.from_json(F.col("value"), "`table` string, data array<string>, es bigint")
     return (
-        messages.select(change.alias("change"))
-        .select(ods_topic(F.col("change.table")).alias("topic"), F.explode("change.data").alias("value"))
+        messages.select(*_places(messages), change.alias("change"))
+        .select(
+            ods_topic(F.col("change.table")).alias("topic"),
+            F.explode("change.data").alias("value"),
+            F.coalesce("change.es", "at").alias("at"),
+            "position",
+        )
     )
 
 
@@ -53,15 +66,18 @@ def maxwell_passes(table: Column, kind: Column, data: Column) -> Column:
 
 
 def route_maxwell(messages: DataFrame) -> DataFrame:
-    """The passing change messages, one row image each.
+    """The passing change messages, one row image each, ``at`` the time of its change.
 
     ``inline`` over a filtered one-element array parses each message once; a
     filter on the parsed columns would be pushed down and parse it again.
     """
-    change = F.from_json(F.col("value"), "`table` string, type string, data string")
+    change = F.from_json(F.col("value"), "`table` string, type string, data string, ts bigint")
     passing = F.filter(
         F.array(change), lambda c: maxwell_passes(c["table"], c["type"], c["data"])
     )
-    return messages.select(F.inline(passing)).select(
-        ods_topic(F.col("table")).alias("topic"), F.col("data").alias("value")
+    return messages.select(*_places(messages), F.inline(passing)).select(
+        ods_topic(F.col("table")).alias("topic"),
+        F.col("data").alias("value"),
+        F.coalesce(F.col("ts") * 1000, "at").alias("at"),
+        "position",
     )

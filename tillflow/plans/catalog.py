@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.functions.records import malformed, parse_records, to_messages
+from tillflow.functions.records import malformed, parse_records, rejects, to_messages
 from tillflow.operators import allocation, dims, keyed, marts, orders, routing, search, visits, wide
 from tillflow.operators.skew import hot_keys
 from tillflow.plans import adapters as a
@@ -130,6 +130,20 @@ def malformed_messages(spark, sf_dir):
     )
 
 
+@query
+def message_rejects(spark, sf_dir):
+    """Texts that hold no single JSON object: prose, lists, plain values, objects with a tail."""
+    props = F.col("props")
+    forms = F.array(
+        props, F.concat(F.lit("["), props, F.lit("]")), F.get_json_object(props, "$.k"),
+        F.concat(props, F.lit(","), props), F.concat(props, F.lit(" end")), F.lit("null"),
+    )
+    events = a.table(spark, sf_dir, "events").select(F.explode(forms).alias("value"))
+    texts = a.table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    found = rejects(texts.unionByName(events), ORDER_INFO)
+    return found.select(F.md5("value").alias("digest"), F.length("value").alias("n_chars"))
+
+
 # --- visits -----------------------------------------------------------------------
 
 

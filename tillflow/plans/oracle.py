@@ -137,6 +137,18 @@ SQL: dict[str, str] = {
         SELECT md5(value) AS digest, length(value) AS n_chars
         FROM (SELECT text AS value FROM documents UNION ALL SELECT props FROM events)
         WHERE NOT json_valid(value)""",
+    "message_rejects": """
+        WITH form AS (
+            SELECT unnest([props, '[' || props || ']', json_extract_string(props, '$.k'),
+                           props || ',' || props, props || ' end', 'null']) AS value FROM events),
+        message AS (SELECT text AS value FROM documents UNION ALL SELECT value FROM form)
+        SELECT md5(value) AS digest, length(value) AS n_chars FROM message
+        WHERE CASE WHEN json_valid(value) THEN json_type(value) <> 'OBJECT' ELSE true END""",
+    "dim_changelog_stream": """
+        SELECT CAST(l_partkey AS VARCHAR) AS id,
+               arg_max(l_orderkey || '-' || l_linenumber,
+                       CAST(epoch(CAST(l_shipdate AS TIMESTAMP)) AS HUGEINT) * 1000000000000 + l_orderkey * 10 + l_linenumber) AS sku_name
+        FROM lineitem GROUP BY 1""",
     "dau_first_visit": _with("v", "first") + f"""
         SELECT mid, mid AS uid, ar, ch, '1.0' AS vc, dt, hr, '{fv.VISIT_MINUTE}' AS mi, ts FROM first""",
     "dau_total": "SELECT strftime(ts, '%Y-%m-%d') AS dt, count(DISTINCT user_id) AS dau FROM events GROUP BY 1",

@@ -7,6 +7,7 @@ longer than the tables' time span: no row is ever late, and none is dropped.
 
 from pyspark.sql import functions as F
 
+from tillflow import schemas
 from tillflow.operators import marts, orders, routing
 from tillflow.plans import adapters as a
 from tillflow.plans.catalog import _window_texts, query
@@ -14,6 +15,7 @@ from tillflow.plans.parameters import (
     CHAIN_DAYS, INTERVAL_DAYS, NEVER_LATE, STATE_BEFORE, STREAM_SALTS,
 )
 from tillflow.sources.tables import replace_batch
+from tillflow.streaming import jobs
 from tillflow.streaming.allocation import allocate_batch, allocate_stream, seed_sums
 from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state
 from tillflow.streaming.run import new_folder, run_to_table, start_batches
@@ -39,6 +41,24 @@ def dau_first_visit_stream(spark, sf_dir):
     return run_to_table(first_visits_stream(logs, NEVER_LATE, STREAM_SALTS), "first_visit").select("dt", "mid", "mi")
 
 
+@query
+def dim_changelog_stream(spark, sf_dir):
+    """Every line as a change of its part: many versions of an id in a batch, in no order."""
+    rows = a.table_stream(spark, sf_dir, "lineitem")
+    change = F.struct(
+        F.col("l_partkey").alias("id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("sku_name"),
+    )
+    messages = rows.select(
+        F.to_json(change).alias("value"),
+        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("at"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("position"),
+    )
+    house = jobs.Warehouse(new_folder(spark, "dim_changelog"))
+    jobs.start_dimension(messages, schemas.SKU_INFO, house, "sku_info").awaitTermination()
+    return house.dimension(spark, "sku_info").select("id", "sku_name")
+
+
 def _known_and_new(spark, sf_dir):
     """Users who ordered before a date, and the orders since then as a stream."""
     before = orders.add_order_dates(a.order_info(a.table(spark, sf_dir, "orders")))

@@ -94,6 +94,17 @@ SKU_INFO = _schema(
     "id string, spu_id string, price string, sku_name string, tm_id string, "
     "category3_id string, create_time string"
 )
+# Dimension tables as the jobs write them, by table name.
+DIMENSIONS = {
+    "base_province": PROVINCE,
+    "base_category3": CATEGORY3,
+    "base_trademark": TRADEMARK,
+    "spu_info": SPU_INFO,
+    "user_info": StructType(USER_INFO.fields + _schema("age_group string, gender_name string").fields),
+    "sku_info": StructType(
+        SKU_INFO.fields + _schema("category3_name string, tm_name string, spu_name string").fields
+    ),
+}
 USER_STATE = _schema("user_id string, if_consumed string")
 
 TRADEMARK_STAT = _schema(

@@ -73,9 +73,13 @@ def batch_sink(path: str, by: list[str] | None = None) -> Callable[[DataFrame, i
 def latest_rows(
     spark: SparkSession, path: str, keys: list[str], version: list[str] | None = None
 ) -> DataFrame:
-    """A changelog written by ``replace_batch`` as a table: the newest row per key."""
+    """A changelog written by ``replace_batch`` as a table: the newest row per key.
+
+    The newest is the one with the highest ``version`` columns, whatever batch
+    brought it; the batch decides between equal or missing versions.
+    """
     log = spark.read.parquet(path)
-    return latest_by_key(log, keys, [BATCH, *(version or [])]).drop(BATCH)
+    return latest_by_key(log, keys, [*(version or []), BATCH]).drop(BATCH)
 
 
 def compact(

@@ -8,12 +8,16 @@ Output of the order jobs goes through ``foreachBatch``: the dimension tables are
 read anew for every batch, so their updates are seen, and every batch replaces
 its own partition of the output. A job that reads the output as a topic takes a
 batch that was run again for new input.
+
+Messages a job can't use (not one JSON object, or without a readable id or time)
+go to the table ``rejects``, by job; they are neither lost nor do they stop it.
 """
 
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,10 +25,10 @@ from pyspark.sql.types import StructType
 
 from tillflow import fixed_values as fv
 from tillflow import schemas
-from tillflow.functions.records import parse_records, to_messages
+from tillflow.functions.records import parse_records, rejects, to_messages
 from tillflow.operators import dims, marts, orders
 from tillflow.sources.tables import latest_rows, replace_batch
-from tillflow.sources.topics import with_key
+from tillflow.sources.topics import VERSION, with_key
 from tillflow.streaming.allocation import allocate_batch, allocate_stream, seed_sums
 from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state
 from tillflow.streaming.run import start_append, start_batches
@@ -32,6 +36,11 @@ from tillflow.streaming.visits import first_visits_stream
 from tillflow.streaming.wide import join_lines_stream
 
 
+_HAS_ID = {"id": "bigint"}
+# What a message of the wide join must have.
+WIDE_NEEDS = {"id": "bigint", "create_time": "timestamp"}
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Where the tables of one warehouse live, below a folder all executors share."""
@@ -48,8 +57,66 @@ class Warehouse:
         return f"{self.root}/checkpoints/{job}"
 
     def dimension(self, spark: SparkSession, name: str) -> DataFrame:
-        """The newest row per id of a dimension."""
-        return latest_rows(spark, self.table(name), ["id"])
+        """The newest row per id of a dimension; none before its job has first written.
+
+        The newest is the one whose change came last at the source.
+        """
+        try:
+            rows = latest_rows(spark, self.table(name), ["id"], VERSION)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schemas.DIMENSIONS[name])
+        return rows.drop(*VERSION)
+
+    def keep_rejects(
+        self, batch: DataFrame, batch_id: int, job: str, schema: StructType, required: dict[str, str]
+    ) -> None:
+        """Writes the messages of a batch that ``parse_records`` leaves out."""
+        replace_batch(
+            _message(rejects(batch, schema, required=required)), batch_id, self._rejects(job)
+        )
+
+    def rejects(self, spark: SparkSession, job: str) -> DataFrame:
+        """The messages a job could not use."""
+        return spark.read.schema("key string, value string").parquet(self._rejects(job))
+
+    def _rejects(self, job: str) -> str:
+        return f"{self.table('rejects')}/job={job}"
+
+
+def _message(messages: DataFrame) -> DataFrame:
+    key = F.col("key") if "key" in messages.columns else F.lit(None)
+    return messages.select(key.cast("string").alias("key"), "value")
+
+
+Publish = Callable[[DataFrame], None]
+
+
+def _send(messages: DataFrame, batch_id: int, path: str, publish: Publish | None) -> None:
+    """Messages of a batch to a folder of topics, and to ``publish`` as well."""
+    replace_batch(messages, batch_id, path, by=["topic"])
+    if publish:
+        publish(with_key(messages))
+
+
+def start_rejects(
+    messages: DataFrame,
+    schema: StructType,
+    house: Warehouse,
+    job: str,
+    required: dict[str, str] | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Keeps what a job over a stream-to-stream operator can't use.
+
+    For ``start_wide`` and ``start_visits``, whose input does not pass a batch
+    function; the other jobs keep their rejects themselves.
+    """
+    return start_append(
+        _message(rejects(messages, schema, required=required)),
+        house._rejects(job), house.checkpoint(f"rejects_{job}"), every,
+    )
 
 
 # --- routing ----------------------------------------------------------------------
@@ -61,12 +128,19 @@ def start_router(
     house: Warehouse,
     layer: str,
     every: str | None = None,
+    publish: Publish | None = None,
 ) -> StreamingQuery:
     """Routes messages to the topics of a layer, exactly once.
 
     ``route`` is one of ``split_app_log``, ``route_canal`` and ``route_maxwell``.
+    With ``publish`` (for example ``write_kafka`` with its servers) each batch of
+    routed messages goes there instead, at least once.
     """
     routed = with_key(route(messages))
+    if publish:
+        return start_batches(
+            routed, lambda batch, _: publish(batch), house.checkpoint(f"route_{layer}"), every
+        )
     return start_append(
         routed, house.topics(layer), house.checkpoint(f"route_{layer}"), every, by=["topic"]
     )
@@ -85,11 +159,19 @@ def start_dimension(
 ) -> StreamingQuery:
     """Keeps a dimension up to date from its change messages: last write wins per id.
 
-    ``prepare`` adds columns to a batch, for example ``label_users``.
+    The last write is told by the messages' columns ``at`` and ``position``
+    (``topics.VERSION``), which stay in the changelog. Messages without them are
+    told by batch only. ``prepare`` adds columns to a batch, for example
+    ``label_users``.
     """
+    required = {"id": "string"}
+    keep = [name for name in VERSION if name in messages.columns]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_records(batch, schema).filter(F.col("id").isNotNull())
+        house.keep_rejects(batch, batch_id, name, schema, required)
+        rows = parse_records(batch, schema, required=required, keep=keep)
+        for missing in set(VERSION) - set(keep):
+            rows = rows.withColumn(missing, F.lit(None).cast("bigint"))
         replace_batch(prepare(rows) if prepare else rows, batch_id, house.table(name))
 
     return start_batches(messages, write, house.checkpoint(name), every)
@@ -129,24 +211,32 @@ def start_orders(
     known: DataFrame | None = None,
     every: str | None = None,
     state_in_table: bool = True,
+    publish: Publish | None = None,
 ) -> StreamingQuery:
     """Orders with dates, first-order flag, province and user, as keyed messages.
 
     Also keeps the table of users who have ordered. ``known`` are users who
     ordered before the job's first start. With ``state_in_table`` that table is
     the state itself, so one user may bring much of a batch; without it the state
-    store holds a mark per user.
+    store holds a mark per user, and ``start_rejects`` keeps the rejects.
     """
-    rows = orders.add_order_dates(parse_records(messages, schemas.ORDER_INFO))
+
+    def parsed(feed: DataFrame) -> DataFrame:
+        return orders.add_order_dates(parse_records(feed, schemas.ORDER_INFO, required=_HAS_ID))
+
     state = house.table("user_state")
     if state_in_table:
+        rows = messages
         empty = rows.sparkSession.createDataFrame([], schemas.USER_STATE)
         seed_state(empty if known is None else known, state)
     else:
-        rows = flag_first_orders_stream(rows, known)
+        rows = flag_first_orders_stream(parsed(messages), known)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if state_in_table:
+            house.keep_rejects(batch, batch_id, "dwd_order", schemas.ORDER_INFO, _HAS_ID)
+            batch = parsed(batch)
         batch.persist()
         try:
             if state_in_table:
@@ -158,9 +248,9 @@ def start_orders(
                 orders.add_province(flagged, house.dimension(spark, "base_province")),
                 house.dimension(spark, "user_info"),
             )
-            replace_batch(
+            _send(
                 to_messages(full, fv.TOPIC_ORDER_INFO, key="id"), batch_id,
-                house.topics("dwd_order"), by=["topic"],
+                house.topics("dwd_order"), publish,
             )
         finally:
             batch.unpersist()
@@ -168,15 +258,21 @@ def start_orders(
     return start_batches(rows, write, house.checkpoint("dwd_order"), every)
 
 
-def start_details(messages: DataFrame, house: Warehouse, every: str | None = None) -> StreamingQuery:
+def start_details(
+    messages: DataFrame,
+    house: Warehouse,
+    every: str | None = None,
+    publish: Publish | None = None,
+) -> StreamingQuery:
     """Order lines with their SKU's ids and names, as messages keyed by order."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_records(batch, schemas.ORDER_DETAIL)
+        house.keep_rejects(batch, batch_id, "dwd_detail", schemas.ORDER_DETAIL, _HAS_ID)
+        rows = parse_records(batch, schemas.ORDER_DETAIL, required=_HAS_ID)
         full = orders.add_sku(rows, house.dimension(batch.sparkSession, "sku_info"))
-        replace_batch(
+        _send(
             to_messages(full, fv.TOPIC_ORDER_DETAIL, key="order_id"), batch_id,
-            house.topics("dwd_detail"), by=["topic"],
+            house.topics("dwd_detail"), publish,
         )
 
     return start_batches(messages, write, house.checkpoint("dwd_detail"), every)
@@ -196,17 +292,19 @@ def start_wide(
     salts: int = 1,
     sums_in_table: bool = True,
     also: Callable[[DataFrame], None] | None = None,
+    publish: Publish | None = None,
 ) -> StreamingQuery:
     """Both feeds without repeats, joined, allocated; to messages and to the mart.
 
     ``also`` gets every batch as well, for example to append it over JDBC. With
     ``sums_in_table`` the sums per order are kept in a table, else in the state
     store, where ``ttl_ms`` lets them expire. That table and ``salts`` are for
-    feeds where one order may bring much of a batch.
+    feeds where one order may bring much of a batch. Orders and lines need an id
+    and a time; ``start_rejects`` with ``WIDE_NEEDS`` keeps the others.
     """
     joined = join_lines_stream(
-        parse_records(order_messages, schemas.ENRICHED_ORDER),
-        parse_records(detail_messages, schemas.ENRICHED_DETAIL),
+        parse_records(order_messages, schemas.ENRICHED_ORDER, required=WIDE_NEEDS),
+        parse_records(detail_messages, schemas.ENRICHED_DETAIL, required=WIDE_NEEDS),
         bound=bound,
         delay=delay,
         salts=salts,
@@ -223,9 +321,7 @@ def start_wide(
         try:
             if sums_in_table:
                 paid = allocate_batch(batch, batch_id, sums).persist()
-            replace_batch(
-                to_messages(paid, fv.TOPIC_ORDER_WIDE), batch_id, house.topics("dws"), by=["topic"]
-            )
+            _send(to_messages(paid, fv.TOPIC_ORDER_WIDE), batch_id, house.topics("dws"), publish)
             replace_batch(paid, batch_id, house.table("order_wide"), by=["dt"])
             if also:
                 also(paid)
@@ -245,6 +341,7 @@ def start_trademark_report(
     """Paid amount per trademark of every batch, stamped with the batch's time."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        house.keep_rejects(batch, batch_id, "ads_trademark", schemas.ORDER_WIDE, {})
         rows = parse_records(batch, schemas.ORDER_WIDE)
         replace_batch(
             marts.trademark_stat(rows, F.lit(clock()).cast("timestamp")), batch_id,
