@@ -188,3 +188,15 @@ def test_language_mixtures_and_edges(spark):
     assert language_id.identify(frame.limit(0), model).collect() == []
     nothing = language_id.train(docs.limit(0))
     assert {r.lang_pred for r in language_id.identify(frame, nothing).collect()} == {"und"}
+
+
+def test_all_languages_of_a_mixture(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    model = language_id.train(docs)
+    by_lang = {r.lang: r.text for r in docs.filter("n_chars > 3000").collect() if r.lang in ("en", "de")}
+    frame = spark.createDataFrame([(1, by_lang["en"][:2000] + "\n" + by_lang["de"][:1000]), (2, "123"), (3, None)], DOCS)
+    mixed, *others = language_id.identify(frame.withColumn("languages", F.lit("clash")), model).collect()
+    assert [x.lang for x in mixed.languages] == ["en", "de"]
+    assert abs(sum(x.share for x in mixed.languages) - 1) < 1e-6
+    assert (mixed.lang_pred, mixed.score) == tuple(mixed.languages[0])
+    assert [(r.languages, r.lang_pred, r.score) for r in others] == [([], "und", 0.0)] * 2

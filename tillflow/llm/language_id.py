@@ -75,10 +75,10 @@ class LanguageModel:
             share = joint @ (counts / joint.sum(axis=0)) / total
         return share, float(counts @ np.log(share @ chances))
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The language with the largest share, and that share; UNKNOWN and 0 without a letter or a model."""
+    def mixture(self, text: str | None) -> list[tuple[str, float]]:
+        """The languages of a text and their shares, largest first; none without a letter or a model."""
         if not has_letter(text) or not self.languages:
-            return UNKNOWN, 0.0
+            return []
         counts = trigram_counts(text)
         seen = np.flatnonzero(counts)
         counts, chances = counts[seen].astype(float), self.chances[:, seen]
@@ -93,8 +93,14 @@ class LanguageModel:
             if worth <= best_worth:
                 break
             best, best_worth = share, worth
-        top = int(np.argmax(best))
-        return self.languages[order[top]], float(min(max(best[top], 0.0), 1.0))
+        return [
+            (self.languages[order[i]], float(min(max(best[i], 0.0), 1.0))) for i in np.argsort(-best, kind="stable")
+        ]
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        """The language with the largest share, and that share; UNKNOWN and 0 without a letter or a model."""
+        found = self.mixture(text)
+        return found[0] if found else (UNKNOWN, 0.0)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -149,23 +155,26 @@ def train(
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``lang_pred`` and ``score``, from the text alone.
+    """``docs`` plus ``languages``, ``lang_pred`` and ``score``, from the text alone.
 
-    A null text, or one without a letter, is UNKNOWN with score 0, as is every
-    text if nothing was learned. Columns of these names are replaced, others
+    ``languages`` holds each language of the text and its share, largest first;
+    ``lang_pred`` and ``score`` are the first of them. A null text, or one
+    without a letter, has none and is UNKNOWN with score 0, as is every text if
+    nothing was learned. Columns of these names are replaced, others
     pass through; repeated rows are each judged. Nothing is shuffled; the model
     has a fixed size for each language.
     """
     languages, chances = model.languages, model.chances
 
-    @F.arrow_udf("struct<lang_pred: string, score: double>")
-    def predict(texts: pa.Array) -> pa.Array:
+    @F.arrow_udf("array<struct<lang: string, share: double>>")
+    def mixtures(texts: pa.Array) -> pa.Array:
         own = LanguageModel(languages, chances)
-        found = [own.predict(t.as_py()) for t in texts]
-        return pa.StructArray.from_arrays(
-            [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-            ["lang_pred", "score"],
-        )
-
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*names, predict(text_col).alias("__found")).select(*names, "__found.lang_pred", "__found.score")
+        found = [[{"lang": x, "share": share} for x, share in own.mixture(t.as_py())] for t in texts]
+        return pa.array(found, pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))
+
+    names = [c for c in docs.columns if c not in ("languages", "lang_pred", "score")]
+    top = F.get("languages", F.lit(0))
+    return docs.select(*names, mixtures(text_col).alias("languages")).select(
+        *names, "languages", F.coalesce(top["lang"], F.lit(UNKNOWN)).alias("lang_pred"),
+        F.coalesce(top["share"], F.lit(0.0)).alias("score"),
+    )
