@@ -200,3 +200,14 @@ def test_all_languages_of_a_mixture(spark):
     assert abs(sum(x.share for x in mixed.languages) - 1) < 1e-6
     assert (mixed.lang_pred, mixed.score) == tuple(mixed.languages[0])
     assert [(r.languages, r.lang_pred, r.score) for r in others] == [([], "und", 0.0)] * 2
+
+
+def test_filters_that_exclude_each_other_pass_no_record():
+    from pyspark.sql.datasource import EqualTo, IsNotNull
+
+    reader = warc._Reader("", False)
+    kind = ("record_type",)
+    assert list(reader.pushFilters([IsNotNull(kind)])) == [IsNotNull(kind)]
+    assert reader._passes({"record_type": "revisit"}) and not reader._passes({"record_type": None})
+    assert not list(reader.pushFilters([EqualTo(kind, "response"), EqualTo(kind, "revisit")]))
+    assert not any(reader._passes({"record_type": x}) for x in ("response", "revisit", None))

@@ -183,7 +183,7 @@ class _Inflated:
 class _Reader(DataSourceReader):
     def __init__(self, path: str, payload: bool):
         self._path, self._payload = path, payload
-        self._wanted: dict[str, set] = {}
+        self._wanted: dict[str, set | None] = {}  # None: any value but null
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802  (name given by the interface)
         for one in filters:
@@ -196,12 +196,12 @@ class _Reader(DataSourceReader):
                 self._narrow(column, set(one.value))
             else:
                 if isinstance(one, IsNotNull):
-                    self._wanted.setdefault(column, set())
+                    self._wanted.setdefault(column, None)
                 yield one
 
     def _narrow(self, column: str, values: set) -> None:
         before = self._wanted.get(column)
-        self._wanted[column] = values & before if before else values
+        self._wanted[column] = values if before is None else values & before
 
     def partitions(self) -> list[InputPartition]:
         from pyarrow import fs
@@ -221,7 +221,7 @@ class _Reader(DataSourceReader):
 
     def _passes(self, row: dict) -> bool:
         return all(
-            row[column] is not None and (not values or row[column] in values)
+            row[column] is not None and (values is None or row[column] in values)
             for column, values in self._wanted.items()
         )
 
