@@ -74,3 +74,18 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert len(roots) == len(found) == 60 + 61
     assert {roots[i] for i in range(101, 161)} == {100}
     assert {roots[i] for i in range(200, 260)} == {3} and roots[7] == 3
+
+
+def test_planted_pairs_in_a_crowded_boilerplate_group(spark, monkeypatch):
+    """Several hundred sets that share most shingles at 0.796, with pairs at 0.802 that share two more."""
+    monkeypatch.setattr(near_dedup, "REGION", 32)
+    monkeypatch.setattr(near_dedup, "BLOCK", 100, raising=False)  # block by block as well
+    shared = [f"b{i}" for i in range(502)]
+    docs = [
+        (n, " ".join(shared + [f"d{n}w{i}" for i in range(60)] + [f"{f'p{n % 40}' if n < 80 else f'd{n}'}e{i}" for i in range(4)]))
+        for n in range(400)
+    ]
+    found = run(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), width=3, share_percent=80)
+    expected = brute(docs, 3, 80)
+    assert sum(not kept for _, _, kept in expected) == 40
+    assert sorted((d, root, kept) for d, _, root, kept in found) == expected

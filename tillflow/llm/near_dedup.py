@@ -11,12 +11,18 @@ Candidates are verified on full sets. They come in two rounds. First each set
 meets the smallest id of its region in every order. Links found so far give
 components; regions that lie in one component are done. In the others, all
 sets of different components are compared by a finer signature, and what may
-still reach the threshold is verified too. So no candidate is dropped by a cap.
+still reach the threshold is verified too.
+
+Going deeper parts sets that may be alike, so all sets of crowded regions are
+compared a second way, which is exact: shingles get one order, common ones last,
+and two sets that reach the threshold share one of their first shingles, at
+places that leave enough after them. Pairs that do and aren't in one component
+yet are verified. So no pair is lost by a region's size.
 
 At similarity s a pair shares the first DEPTHS[0] values of an order with
 probability s ** 2: with 16 orders a pair at 0.85 is missed with probability
-(1 - 0.85 ** 2) ** 16 = 1e-9, at 0.8 with 8e-8. In a crowded region the depth may reach
-16 values; there many sets are alike and one chain of links is enough.
+(1 - 0.85 ** 2) ** 16 = 1e-9, at 0.8 with 8e-8, in crowded regions as elsewhere.
+The finer signature loses a pair at the threshold with 2e-8 at most.
 """
 
 from collections.abc import Iterator
@@ -42,6 +48,12 @@ FINE_VALUES = 512
 FINE_SEED = 21
 # Ids of sets with neighbours are broadcast up to this number (8 bytes each); beyond it the texts are shuffled.
 BROADCAST_IDS = 2_000_000
+# Shingles of crowded sets that are known to be common, the most frequent ones (16 bytes each). They and the
+# share of sets they are counted in decide only about the order of shingles, which any choice leaves exact.
+COMMON = 1_000_000
+COUNTED_SETS = 200_000
+# Sets that share a first shingle and are compared in one piece; more are compared block by block.
+BLOCK = 2_048
 _ROUND_LIMIT = 100
 
 _PREFIXES = ", ".join(f"k{i} long" for i in range(len(DEPTHS)))
@@ -111,8 +123,8 @@ def _prefix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- regions of the forest ---------------------------------------------------------------
 
 
-def _regions(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(region, id) for all sets that have neighbours, and pairs (a, b) that tie regions together."""
+def _regions(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(region, id) for all sets that have neighbours, pairs (a, b) that tie regions, and ids of crowded regions."""
     members, ties, live = [], [], rows
     for level in range(len(DEPTHS)):
         key = f"k{level}"
@@ -127,6 +139,8 @@ def _regions(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             live.filter(F.col("size") <= REGION).select(F.col(key).alias("region"), "id")
         )
         live = live.filter(F.col("size") > REGION).withColumn("above", F.col("least"))
+        if level == 0:
+            crowded = live.select("id").distinct()
         if live.isEmpty():
             break
     # Beyond the last depth: regions of REGION sets, each with the smallest one of all.
@@ -139,7 +153,7 @@ def _regions(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         regions = regions.unionByName(more)
     for more in ties:
         tied = tied.unionByName(more)
-    return regions, tied
+    return regions, tied, crowded
 
 
 def _distinct_pairs(pairs: DataFrame) -> DataFrame:
@@ -202,6 +216,113 @@ def _least_share(share_percent: int) -> float:
     return s - 5.5 * (s * (1 - s) / FINE_VALUES) ** 0.5
 
 
+# --- crowded regions, exactly ---------------------------------------------------------------
+
+
+def _common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles of the sets, sorted, and how often each was counted."""
+    share = max(1, sets.count() // COUNTED_SETS)
+    counted = sets.filter(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).select(F.explode("hs").alias("shingle"))
+    counted = counted.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max(1, REGION // share))
+    found = counted.orderBy(F.desc("n"), "shingle").limit(COMMON).toArrow()
+    shingles, n = found["shingle"].to_numpy(), found["n"].to_numpy()
+    order = np.argsort(shingles)
+    return shingles[order], n[order]
+
+
+def _first_shingles(common: np.ndarray, counts: np.ndarray, share_percent: int):
+    """A row for each shingle that a set must share one of: its place in the order, common shingles last."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                firsts, sizes = [np.empty(0, np.int64)], []
+                for values in part.column(1):
+                    hs = values.values.to_numpy(zero_copy_only=False)
+                    n = np.zeros(len(hs), np.int64)
+                    if len(common):
+                        near = np.minimum(np.searchsorted(common, hs), len(common) - 1)
+                        n = np.where(common[near] == hs, counts[near], 0)
+                    most = len(hs) + share_percent * len(hs) // -100 + 1
+                    firsts.append(hs[np.lexsort((hs, n))][:most])
+                    sizes.append(len(hs))
+                lengths = [len(x) for x in firsts[1:]]
+                at = [np.empty(0, np.int64), *(np.arange(n) for n in lengths)]
+                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), lengths)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(firsts)), pa.array(ids, pa.int64()),
+                     pa.array(np.repeat(sizes, lengths), pa.int32()), pa.array(np.concatenate(at), pa.int32())],
+                    ["shingle", "id", "n", "at"],
+                )
+    return run
+
+
+def _alike_by_place(share_percent: int):
+    """Pairs of a group that can reach the threshold if its shingle is the first that they share."""
+    def pairs(rows):
+        ids, n, at, roots, blocks = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+        left, several = n - at, blocks.min() < blocks.max()
+        for i in range(len(ids) - 1):
+            fits = np.minimum(left[i + 1 :], left[i]) * (100 + share_percent) >= share_percent * (n[i + 1 :] + n[i])
+            fits &= roots[i + 1 :] != roots[i]
+            if several:  # pairs within a block are compared in a group of their own
+                fits &= blocks[i + 1 :] != blocks[i]
+            found = ids[i + 1 :][fits]
+            if len(found):
+                yield np.full(len(found), ids[i]), found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows, out, held = None, [], [], 0
+
+        def taken():
+            a, b = (np.concatenate(x) for x in zip(*out, strict=True))
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        def flush():
+            nonlocal held
+            for one in pairs(rows) if rows else ():
+                out.append(one)
+                held += len(one[0])
+                if held >= 10_000:
+                    held = 0
+                    yield taken()
+            rows.clear()
+
+        for batch in batches:
+            for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != group:
+                    yield from flush()
+                    group = key
+                rows.append(row)
+        yield from flush()
+        if out:
+            yield taken()
+    return run
+
+
+def _crowded_pairs(sets: DataFrame, crowded: DataFrame, roots: DataFrame, share_percent: int) -> DataFrame:
+    """All pairs (a, b) of crowded sets that may reach the threshold and are not in one component."""
+    sets = staged(sets.join(crowded, "id", "left_semi").select("id", "hs"), "crowded-sets")
+    common, counts = _common_shingles(sets)
+    rows = sets.mapInArrow(_first_shingles(common, counts, share_percent), "shingle long, id long, n int, at int")
+    rows = rows.join(roots, "id", "left").select("shingle", "id", "n", "at", F.coalesce("root", "id").alias("root"))
+    rows = staged(rows, "first-shingles")
+    shared = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")
+    )
+    shared = staged(shared.filter("lo < hi").select("shingle", "size"), "shared-shingles")
+    blocks = F.ceil(F.col("size") / BLOCK)
+    met = rows.join(shared, "shingle").select("*", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).alias("block"))
+    met = met.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    group = F.xxhash64("shingle", F.least("block", "other"), F.greatest("block", "other"))
+    met = met.select(group.alias("group"), "id", "n", "at", "root", "block")
+    pairs = met.repartition("group").sortWithinPartitions("group").mapInArrow(
+        _alike_by_place(share_percent), "a long, b long"
+    )
+    return _distinct_pairs(pairs)
+
+
 # --- components ------------------------------------------------------------------------------
 
 
@@ -272,8 +393,8 @@ def near_duplicates(
     )
     firsts = classes.select(F.col("first").alias("id"), "sig")
 
-    regions, ties = _regions(firsts.mapInArrow(_prefix_rows, f"id long, {_PREFIXES}"))
-    regions = staged(regions, "forest")
+    regions, ties, crowded = _regions(firsts.mapInArrow(_prefix_rows, f"id long, {_PREFIXES}"))
+    regions, crowded = staged(regions, "forest"), staged(crowded, "crowded")
     wanted = staged(regions.select("id").distinct(), "wanted")
     few = wanted.count() <= BROADCAST_IDS
     texts = rows.join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
@@ -298,6 +419,13 @@ def near_duplicates(
     if not more.isEmpty():
         stars = found.select(F.col("id").alias("a"), F.col("root").alias("b"))
         roots = components(stars.unionByName(more))
+    if not crowded.isEmpty():
+        pairs = _crowded_pairs(sets, crowded, roots, share_percent)
+        pairs = staged(pairs.join(tried, ["a", "b"], "left_anti"), "pairs-3")
+        more = staged(_verified(pairs, sets, share_percent), "links-3")
+        if not more.isEmpty():
+            stars = roots.select(F.col("id").alias("a"), F.col("root").alias("b"))
+            roots = components(stars.unionByName(more))
 
     same_set = sketches.join(classes, ["f1", "f2"], "left").select(
         "id", "n", F.when(F.col("n") > 0, F.coalesce("first", "id")).otherwise(F.col("id")).alias("first")
