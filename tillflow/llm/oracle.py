@@ -139,3 +139,76 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.y, d
        d.doc_id = least(d.doc_id, coalesce(r.y, d.doc_id)) AS kept
 FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN least r ON d.doc_id = r.x
 """
+
+
+def _field(column: str) -> str:
+    value = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# crc32 by its definition, eight steps a byte; ids have up to 20 characters.
+_CRC = """
+crc_table AS (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256))::BIGINT AS b)),
+crc_list AS (SELECT list(v ORDER BY b) AS t FROM crc_table)"""
+
+
+def _crc(value: str) -> str:
+    codes = f"list_transform(string_split({value}, ''), lambda c: ord(c)::BIGINT)"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), "
+        "lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295)"
+    )
+
+
+SQL["op12_merkle_manifest"] = f"""
+WITH RECURSIVE {_CRC.strip()},
+leaves AS (
+    SELECT source, doc_id, {_leaf("text")} AS leaf,
+           {_leaf("CASE WHEN " + _crc("CAST(doc_id AS VARCHAR)") + " % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS tampered,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS place
+    FROM documents, crc_list),
+nodes AS (
+    SELECT source, 0 AS level, place, leaf AS node, count(*) OVER (PARTITION BY source) AS n FROM leaves
+    UNION ALL
+    SELECT source, level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), (n + 2) // 3
+    FROM nodes WHERE n > 1 GROUP BY source, level, place // 3, n),
+subroots AS (
+    SELECT source, level AS height, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM nodes WHERE n = 1),
+tops AS (
+    SELECT 0 AS level, place, node, count(*) OVER () AS n FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), (n + 2) // 3
+    FROM tops WHERE n > 1 GROUP BY level, place // 3, n),
+steps AS (
+    SELECT l.source, l.doc_id, s.level, s.place < l.place // (3 ** s.level)::BIGINT AS earlier, s.place, s.node
+    FROM leaves l JOIN nodes s ON s.source IS NOT DISTINCT FROM l.source
+        AND s.place // 3 = l.place // (3 ** (s.level + 1))::BIGINT AND s.place <> l.place // (3 ** s.level)::BIGINT
+    UNION ALL
+    SELECT l.source, l.doc_id, r.height + s.level, s.place < r.place // (3 ** s.level)::BIGINT, s.place, s.node
+    FROM leaves l JOIN subroots r ON r.source IS NOT DISTINCT FROM l.source
+        JOIN tops s ON s.place // 3 = r.place // (3 ** (s.level + 1))::BIGINT AND s.place <> r.place // (3 ** s.level)::BIGINT),
+sides AS (
+    SELECT source, doc_id, level,
+           coalesce(string_agg(node, '' ORDER BY place) FILTER (WHERE earlier), '') AS b,
+           coalesce(string_agg(node, '' ORDER BY place) FILTER (WHERE NOT earlier), '') AS a
+    FROM steps GROUP BY source, doc_id, level),
+heights AS (
+    SELECT r.source, r.height + (SELECT max(level) FROM tops) AS height, r.node AS subroot, t.node AS root
+    FROM subroots r, (SELECT node FROM tops WHERE n = 1) t),
+folded AS (
+    SELECT l.source, l.doc_id, 0 AS level, tampered AS node, '' AS proof FROM leaves l
+    UNION ALL
+    SELECT f.source, f.doc_id, f.level + 1, sha256(coalesce(s.b, '') || f.node || coalesce(s.a, '')),
+           f.proof || coalesce(s.b, '') || coalesce(s.a, '')
+    FROM folded f JOIN heights h ON h.source IS NOT DISTINCT FROM f.source AND f.level < h.height
+        LEFT JOIN sides s ON s.source IS NOT DISTINCT FROM f.source AND s.doc_id = f.doc_id AND s.level = f.level)
+SELECT l.doc_id, l.leaf, h.subroot, h.root, sha256(f.proof) AS proof_sha256, f.node AS folded_root, f.node = h.root AS verified
+FROM leaves l JOIN heights h ON h.source IS NOT DISTINCT FROM l.source
+    JOIN folded f ON f.source IS NOT DISTINCT FROM l.source AND f.doc_id = l.doc_id AND f.level = h.height
+"""

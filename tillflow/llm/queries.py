@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm import (
-    decontamination, language_id, license_scan, line_dedup, near_dedup, packing, quality_classifier, quality_rules,
+    decontamination, language_id, license_scan, line_dedup, merkle, near_dedup, packing, quality_classifier, quality_rules,
     url_filter, warc,
 )
 from tillflow.llm.common import new_path, staged
@@ -90,3 +90,8 @@ def op10_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     found = language_id.identify(docs.select("doc_id", "text"), language_id.train(docs))
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.verify(merkle.manifest(_table(spark, sf_dir, "documents"), tampered={"text": merkle.dropped_breaks()}))
