@@ -212,3 +212,41 @@ SELECT l.doc_id, l.leaf, h.subroot, h.root, sha256(f.proof) AS proof_sha256, f.n
 FROM leaves l JOIN heights h ON h.source IS NOT DISTINCT FROM l.source
     JOIN folded f ON f.source IS NOT DISTINCT FROM l.source AND f.doc_id = l.doc_id AND f.level = h.height
 """
+
+
+SQL["op11_source_divergence"] = rf"""
+WITH known AS (
+    SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+    FROM documents),
+found AS (
+    SELECT row_id, lang, source, unnest(regexp_extract_all({_lower("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM known),
+kept AS (
+    SELECT lang, term, count(*) AS lang_n FROM found GROUP BY lang, term HAVING count(DISTINCT row_id) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+counts AS (
+    SELECT f.lang, f.source, f.term, count(*) AS n, any_value(k.lang_n) AS lang_n
+    FROM found f JOIN kept k ON f.lang = k.lang AND f.term = k.term GROUP BY f.lang, f.source, f.term),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY lang, source),
+groups AS (
+    SELECT g.lang, g.source, coalesce(t.total, 0)::HUGEINT AS total, coalesce(l.v, 0)::HUGEINT AS v, l.lang_total
+    FROM (SELECT DISTINCT lang, source FROM known) g
+    LEFT JOIN totals t ON g.lang = t.lang AND g.source = t.source LEFT JOIN langs l ON g.lang = l.lang),
+shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.total + 5 * g.v) AS p,
+           1 + (1000000000::HUGEINT * (k.lang_n + 5)) // (g.lang_total + 5 * g.v) AS q
+    FROM groups g JOIN kept k ON g.lang = k.lang
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+compared AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(c.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN compared c ON c.lang = a.lang AND c.source = a.source AND c.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 50
+"""

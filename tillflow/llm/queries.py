@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm import (
-    decontamination, language_id, license_scan, line_dedup, merkle, near_dedup, packing, quality_classifier, quality_rules,
-    url_filter, warc,
+    decontamination, divergence, fingerprints, language_id, license_scan, line_dedup, merkle, near_dedup, packing,
+    quality_classifier, quality_rules, url_filter, warc,
 )
 from tillflow.llm.common import new_path, staged
 
@@ -92,6 +92,16 @@ def op10_language_id(spark, sf_dir):
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.verify(merkle.manifest(_table(spark, sf_dir, "documents"), tampered={"text": merkle.dropped_breaks()}))
+
+
+@query
+def op13_fingerprints(spark, sf_dir):
+    return fingerprints.compare_edits(_table(spark, sf_dir, "documents"))
