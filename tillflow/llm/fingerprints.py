@@ -7,16 +7,26 @@ t = floor(ln w / r + b), which gives ln y = r (t - b) and the key ln a = ln c -
 The sample is the (word, t) with the least key; two texts have the same one with the
 probability sum(min weights) / sum(max weights), their generalised Jaccard similarity.
 A fingerprint is 16 bits of each sample, in hex.
+
+The least key of a text of n words is Exp(n), so it lies below 40 / n but for a chance
+of e^-40. A word whose key has a lower bound above that is passed over before any
+logarithm is taken; the bound is made of the same draws, so it holds in every text.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import lower_ascii, staged, word_list
 from tillflow.llm.ranks import ranked
 
-SAMPLES = 64
+SAMPLES = 48
 DIGITS = 4  # of one sample
+# Samples that a row of words is drawn for at once, and the bound on n times the least key.
+SAMPLES_AT_ONCE = 4
+MOST = 40.0
 
 
 # --- weights and samples --------------------------------------------------------------
@@ -27,51 +37,96 @@ def _uniform(bits: Column, most: int) -> Column:
     return (bits.cast("double") + 0.5) * (1.0 / most)
 
 
-def sample_key(word: Column, log_weight: Column, number: int) -> Column:
-    """The key of a word in a sample as a long: 31 bits of ln a, then 16 of (word, t). The least one is the sample."""
-    first, second = F.xxhash64(word, F.lit(2 * number)), F.xxhash64(word, F.lit(2 * number + 1))
-    low21, low32 = F.lit((1 << 21) - 1), F.lit((1 << 32) - 1)
-    stretch = -F.ln(
-        _uniform(first.bitwiseAND(low21), 1 << 21) * _uniform(F.shiftright(first, 21).bitwiseAND(low21), 1 << 21)
-    )
-    shift = _uniform(F.shiftrightunsigned(first, 43), 1 << 21)
-    level = F.ln(-F.ln(
-        _uniform(second.bitwiseAND(low32), 1 << 32) * _uniform(F.shiftrightunsigned(second, 32), 1 << 32)
-    ))
-    step = F.floor(log_weight / stretch + shift)
-    key = level - stretch * (step + 1 - shift)  # between -80 and 4
-    place = F.floor((key + 128) * (1 << 23))
-    return F.shiftleft(place, 4 * DIGITS).bitwiseOR(F.xxhash64(second, step).bitwiseAND(F.lit((1 << 4 * DIGITS) - 1)))
-
-
 def _weighted(rows: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` plus (h, w) for each distinct word of ``text``; one row of nulls where there is none."""
+    """``keep`` plus (h, w, n) for each distinct word of ``text``: its hash, its count, all counts. One row of nulls where there is none."""
     hashes = F.sort_array(F.transform(word_list(lower_ascii(F.col("text"))), lambda word: F.xxhash64(word)))
     hashed = rows.select(*keep, hashes.alias("hashes"))
     new = lambda i: (i == 0) | (F.get("hashes", i) != F.get("hashes", i - 1))
     places = F.when(F.size("hashes") > 0, F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), new))
     begun = hashed.select(*keep, "hashes", places.alias("begins"))
     ended = begun.select(
-        *keep, "hashes", "begins",
+        *keep, "hashes", "begins", F.size("hashes").alias("n"),
         F.concat(F.slice("begins", F.lit(2), F.size("begins")), F.array(F.size("hashes"))).alias("ends"),
     )
     words = F.zip_with("begins", "ends", lambda b, e: F.struct(F.get("hashes", b).alias("h"), (e - b).alias("w")))
-    return ended.select(*keep, F.inline_outer(words))
+    return ended.select(*keep, "n", F.inline_outer(words))
+
+
+def _least_keys(words: DataFrame, keep: list[str], samples: int) -> DataFrame:
+    """``keep``, the number of a run of samples, and the least keys k0, k1, ... of that run.
+
+    A key is a long: 31 bits of ln a, then 16 of (word, t). The steps are columns
+    of their own so that each is computed once.
+    """
+    run = range(min(SAMPLES_AT_ONCE, samples))
+    low21, low32 = F.lit((1 << 21) - 1), F.lit((1 << 32) - 1)
+
+    def each(name: str, make) -> list[Column]:
+        return [make(j).alias(f"{name}{j}") for j in run]
+
+    def at(name: str, j: int) -> Column:
+        return F.col(f"{name}{j}")
+
+    def all_of(*names: str) -> list[str]:
+        return [f"{name}{j}" for name in names for j in run]
+
+    runs = F.lit(list(range(-(-samples // len(run)))))
+    drawn = words.select(
+        *keep, "h", F.ln("w").alias("log_weight"), F.col("w").cast("double").alias("w"),
+        (MOST * F.col("w") / F.col("n")).alias("bar"), F.explode(runs).alias("run"),
+    )
+    fixed = [*keep, "run", "log_weight", "w", "bar"]
+    drawn = drawn.select(*fixed, *each("first", lambda j: F.xxhash64("h", F.col("run") * len(run) + j)))
+    drawn = drawn.select(*fixed, *all_of("first"), *each("second", lambda j: F.xxhash64(at("first", j))))
+    # r = -ln p and c = -ln q, with p and q products of two uniform numbers.
+    drawn = drawn.select(
+        *fixed, *all_of("second"),
+        *each("p", lambda j: _uniform(at("first", j).bitwiseAND(low21), 1 << 21)
+              * _uniform(F.shiftright(at("first", j), 21).bitwiseAND(low21), 1 << 21)),
+        *each("q", lambda j: _uniform(at("second", j).bitwiseAND(low32), 1 << 32)
+              * _uniform(F.shiftrightunsigned(at("second", j), 32), 1 << 32)),
+        *each("shift", lambda j: _uniform(F.shiftrightunsigned(at("first", j), 43), 1 << 21)),
+    )
+
+    # a = c p^(1 - b) at weight 1, at least c p / w else; c >= 1 - q; p^x >= p / (x + (1 - x) p).
+    def stretch(j: int) -> Column:
+        p, shift = at("p", j), at("shift", j)
+        within = F.when(F.col("w") == 1, p / (1 - shift + shift * p)).otherwise(p)
+        return F.when((1 - at("q", j)) * within <= F.col("bar"), -F.ln(p))
+
+    drawn = drawn.select(*fixed, *all_of("second", "q", "shift"), *each("stretch", stretch))
+    drawn = drawn.select(
+        *fixed, *all_of("second", "q", "shift", "stretch"),
+        *each("step", lambda j: F.floor(F.col("log_weight") / at("stretch", j) + at("shift", j))),
+    )
+    kept_bits = F.lit((1 << 4 * DIGITS) - 1)
+
+    def key(j: int) -> Column:
+        level = F.ln(-F.ln(at("q", j))) - at("stretch", j) * (at("step", j) + 1 - at("shift", j))  # between -80 and 4
+        name = (F.shiftright(at("second", j), 20) + at("step", j)).bitwiseAND(kept_bits)
+        return F.when(
+            at("stretch", j).isNotNull(), F.shiftleft(F.floor((level + 128) * (1 << 23)), 4 * DIGITS).bitwiseOR(name)
+        )
+
+    return drawn.groupBy(*keep, "run").agg(*[F.min(key(j)).alias(f"k{j}") for j in run])
 
 
 def signed(rows: DataFrame, *keep: str, samples: int = SAMPLES) -> DataFrame:
     """``keep`` plus ``fingerprint`` of the texts of ``rows``; ``keep`` must tell rows apart. '' for a text without words.
 
-    Words are counted inside their row and hashed one by one, so memory is bounded
-    by one text, and each task sends one row per text at most.
+    ``samples`` is a multiple of SAMPLES_AT_ONCE, or less. Words are counted inside
+    their row, so memory is bounded by one text, and each task sends a few rows per
+    text at most.
     """
-    terms = _weighted(rows, *keep).withColumn("log_weight", F.ln("w"))
-    least = [F.min(sample_key(F.col("h"), F.col("log_weight"), k)).alias(f"s{k}") for k in range(samples)]
-    found = terms.groupBy(*keep).agg(*least)
+    least = _least_keys(_weighted(rows, *keep), list(keep), samples)
     digits = [
-        F.lpad(F.lower(F.hex(F.col(f"s{k}").bitwiseAND(F.lit((1 << 4 * DIGITS) - 1)))), DIGITS, "0") for k in range(samples)
+        F.lpad(F.lower(F.hex(F.coalesce(F.col(c), F.lit(0)).bitwiseAND(F.lit((1 << 4 * DIGITS) - 1)))), DIGITS, "0")
+        for c in least.columns if c not in (*keep, "run")
     ]
-    return found.select(*keep, F.coalesce(F.concat(*digits), F.lit("")).alias("fingerprint"))
+    has_words = reduce(or_, [F.col(c).isNotNull() for c in least.columns if c not in (*keep, "run")])
+    parts = least.select(*keep, F.struct("run", F.when(has_words, F.concat(*digits)).otherwise("").alias("part")).alias("part"))
+    whole = parts.groupBy(*keep).agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    return whole.select(*keep, F.array_join("parts.part", "").alias("fingerprint"))
 
 
 def likeness(one: Column, other: Column, samples: int = SAMPLES) -> Column:
