@@ -21,6 +21,21 @@ def rows(spark):
     return lambda schema, *data: spark.createDataFrame(list(data), schema)
 
 
+@pytest.fixture
+def settings(spark):
+    before = {}
+
+    def put(**values):
+        for name, value in values.items():
+            key = name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def as_set(frame, *columns):
     picked = frame.select(*columns) if columns else frame
     found = [tuple(r) for r in picked.collect()]

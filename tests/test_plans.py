@@ -34,21 +34,6 @@ def test_no_pair_join_and_no_python(spark, name):
         assert operator not in text
 
 
-@pytest.fixture
-def settings(spark):
-    before = {}
-
-    def put(**values):
-        for name, value in values.items():
-            key = name.replace("__", ".")
-            before.setdefault(key, spark.conf.get(key, None))
-            spark.conf.set(key, value)
-
-    yield put
-    for key, value in before.items():
-        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def test_scan_reads_only_what_is_needed(spark):
     text = plan(visits.dau_total(visits.visit_starts(a.app_logs(a.table(spark, SF, "events")))))
     assert re.findall(r"ReadSchema: struct<([^>]*)>", text) == ["ts:timestamp_ntz,user_id:bigint"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tillflow import schemas
 from tillflow.operators import allocation, wide
 from tillflow.operators.skew import hot_keys, split_hot
+from tillflow.plans.catalog import QUERIES
 
 ORDER = "id bigint, final_total_amount double, at timestamp_ntz"
 LINE = "id string, order_id bigint, order_price double, sku_num bigint, at timestamp_ntz"
@@ -186,3 +187,33 @@ def test_sliding_windows_agree_with_windows_written_out(crowd):
         assert as_set(got, "order_detail_id") == as_set(expected)
     with pytest.raises(ValueError):
         wide.share_a_window("at", "at", 7, 2)
+
+
+def spread(frame):
+    """Rows by task."""
+    return sorted(r["count"] for r in frame.groupBy(F.spark_partition_id()).count().collect())
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_a_hot_order_without_line_ids_spreads_over_all_tasks(spark, settings, copies):
+    """40,000 lines of one order, all without an id: some with columns that differ, some wholly equal."""
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    n = F.lit(1) if copies else F.col("n") % 977
+    lines = spark.range(40_000).select(
+        F.lit(None).cast("string").alias("order_detail_id"), F.lit(7).cast("bigint").alias("order_id"),
+        F.lit(1.0).alias("sku_price"), F.lit(2).cast("bigint").alias("sku_num"), F.lit(80_000.01).alias("final_total_amount"),
+        F.col("id").alias("n"), F.lit(None).cast("double").alias("final_detail_amount"),
+    ).withColumn("n", n)
+    paid = allocation.allocate(lines, hot_rows=100)
+    shares = {r.final_detail_amount: r["count"] for r in paid.groupBy("final_detail_amount").count().collect()}
+    assert shares == {2.0: 39_999, 2.01: 1}
+    summed = allocation.running_sums(paid, hot_rows=100)
+    assert sorted(r.origin_before for r in summed.select("origin_before").collect()) == [2.0 * i for i in range(40_000)]
+    by_task = spread(summed)
+    assert len(by_task) >= 4 and by_task[-1] < 20_000
+
+
+def test_running_sums_without_hot_orders_have_one_window_branch(spark):
+    """The look-up of hot orders happens before, so no scan is in the plan for a branch without rows."""
+    rows = QUERIES["order_running_sums"](spark, "/root/testdata/sf0.001")
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") < 20

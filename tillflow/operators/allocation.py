@@ -16,13 +16,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillflow.functions.money import from_cents, share_cents, to_cents
-from tillflow.operators.skew import HOT_ROWS, hot_keys, join_by_key, split_hot
+from tillflow.operators.skew import HOT_ROWS, hot_keys, join_by_key, split_hot, spread_copies
 from tillflow.operators.wide import join_lines
+from tillflow.scratch import written
 
 _ORDER = "order_id"
-_LINE = "order_detail_id"
+_SHARE = "final_detail_amount"
 # The order of an order's lines. Rows equal in all three have equal shares.
-_BY_LINE = (_LINE, "sku_price", "sku_num")
+_BY_LINE = ("order_detail_id", "sku_price", "sku_num")
 
 
 def line_cents() -> Column:
@@ -39,7 +40,7 @@ def _with_share(rows: DataFrame, is_last: Column, share_sum: Column) -> DataFram
     share, none = F.col("_share"), F.lit(0)
     rest = paid_cents() - (F.coalesce(share_sum, none) - F.coalesce(share, none))
     final = from_cents(F.when(is_last, rest).otherwise(share))
-    return rows.withColumn("final_detail_amount", final)
+    return rows.withColumn(_SHARE, final)
 
 
 def allocate_in_windows(wide: DataFrame) -> DataFrame:
@@ -61,28 +62,34 @@ def allocate_by_sums(wide: DataFrame) -> DataFrame:
     """The same shares for orders with very many lines, which no task could hold.
 
     Sums are combined before the shuffle and go back to the lines by broadcast.
-    There is one row of sums per hot order, so at most ``MAX_HOT_KEYS``. The last
-    line may occur more than once; to take one of its copies the lines are dealt
-    by order and line.
+    There is one row of sums per hot order, so at most ``MAX_HOT_KEYS``. No line is
+    dealt by its order, and none is put in order: the last line is a maximum, and
+    where it occurs more than once its copies are equal in all columns, so they
+    are counted, left out, and come back as one that gets the rest and others
+    that get their share.
     """
-    line = F.struct(*_BY_LINE)
+    others = [c for c in wide.columns if c not in _BY_LINE]
+    line = F.struct(*_BY_LINE, *others)
     lines = wide.withColumn("_amount", line_cents())
-    sums = lines.groupBy(_ORDER).agg(
-        F.sum("_amount").alias("_sum"), F.max(line).alias("_last")
-    )
-    shared = join_by_key(lines, sums, [_ORDER], small=True).withColumn(
-        "_share", share_cents(F.col("_amount"), F.col("_sum"), paid_cents())
-    )
-    share_sums = shared.groupBy(_ORDER).agg(F.sum("_share").alias("_share_sum"))
-    copies = W.partitionBy(_ORDER, *_BY_LINE).orderBy(_LINE)
-    counted = join_by_key(shared, share_sums, [_ORDER], small=True).withColumn(
-        "_copy", F.row_number().over(copies)
-    )
-    return _with_share(
-        counted,
-        is_last=line.eqNullSafe(F.col("_last")) & (F.col("_copy") == 1),
-        share_sum=F.col("_share_sum"),
-    ).drop("_amount", "_share", "_sum", "_last", "_share_sum", "_copy")
+    sums = lines.groupBy(_ORDER).agg(F.sum("_amount").alias("_sum"), F.max(line).alias("_last"))
+    shared = join_by_key(lines, sums, [_ORDER], small=True).withColumns(
+        {
+            "_share": share_cents(F.col("_amount"), F.col("_sum"), paid_cents()),
+            "_is_last": line.eqNullSafe(F.col("_last")),
+        }
+    )
+    columns = [c for c in wide.columns if c != _SHARE]
+    ends = shared.groupBy(_ORDER).agg(
+        F.sum("_share").alias("_share_sum"),
+        F.count_if("_is_last").alias("_copies"),
+        F.max(F.when(F.col("_is_last"), line)).alias("_line"),
+        F.max(F.when(F.col("_is_last"), F.col("_share"))).alias("_last_share"),
+    )
+    last = spread_copies(ends.select("_line.*", "_share_sum", "_copies", F.col("_last_share").alias("_share")), "_copies")
+    place = wide.columns if _SHARE in wide.columns else [*wide.columns, _SHARE]
+    plain = shared.filter(~F.col("_is_last")).select(*columns, from_cents(F.col("_share")).alias(_SHARE))
+    rest = _with_share(last, is_last=F.col("_copy") == 1, share_sum=F.col("_share_sum"))
+    return plain.select(*place).unionByName(rest.select(*place))
 
 
 def allocate(
@@ -118,9 +125,6 @@ def paid_lines(orders: DataFrame, lines: DataFrame, hot_rows: int = HOT_ROWS) ->
 
 # --- running sums -----------------------------------------------------------------
 
-_MAX_RANGES = 1024
-
-
 def _sums_before(
     rows: DataFrame, keys: list[str], order: tuple[str, ...], names: tuple[str, ...], prefix: str
 ) -> DataFrame:
@@ -132,54 +136,56 @@ def _sums_before(
     )
 
 
-def _cut_into_ranges(rows: DataFrame, hot_rows: int) -> DataFrame:
-    """Adds ``_range``: the lines of each hot order cut into runs of line ids.
+def _sums_before_by_ranges(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """The same for orders with very many lines: a scan in two passes.
 
-    The cuts are line ids picked by their hash, about one per ``hot_rows / 4``
-    lines and 1024 per order at most, so they depend on the data only and a task
-    that is run again cuts the same. There are about four cuts per ``hot_rows``
-    lines of the table, which bounds the broadcast.
+    Equal lines become one with their number. They are dealt by range over order
+    and all columns, so lines with the same or no id spread as well; the ranges
+    are written, as both passes must see the same ones. Sums of whole ranges give
+    where a range begins, running sums inside it do the rest, and the copies of a
+    line come back one after the other.
     """
-    sizes = rows.groupBy(_ORDER).agg(F.count(F.lit(1)).alias("_lines"))
-    step = F.greatest(
-        F.ceil(F.col("_lines") / F.lit(_MAX_RANGES)), F.lit(max(hot_rows // 4, 1))
+    others = [c for c in rows.columns if c not in (_ORDER, *_BY_LINE)]
+    by_line = (*_BY_LINE, *others)
+    combined = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    ranges = written(
+        combined.repartitionByRange(*[F.asc_nulls_first(c) for c in (_ORDER, *by_line)])
+        .withColumn("_range", F.spark_partition_id()),
+        "line-ranges",
+    )
+    # Sums are of all copies of a line; its own columns stay as they are.
+    whole = ranges.withColumns({f"_all_{n}": F.col(f"_{n}") * F.col("_copies") for n in names})
+    range_sums = whole.groupBy(_ORDER, "_range").agg(*[F.sum(f"_all_{n}").alias(f"_{n}") for n in names])
+    earlier = _sums_before(range_sums, [_ORDER], ("_range",), names, "_base_").drop(
+        *[f"_{n}" for n in names]
     )
-    picked = join_by_key(rows.select(_ORDER, _LINE), sizes, [_ORDER], small=True).filter(
-        F.pmod(F.xxhash64(_LINE), step) == 0
+    inside = _sums_before(
+        whole, [_ORDER, "_range"], by_line, tuple(f"all_{n}" for n in names), "_in_"
     )
-    cuts = picked.groupBy(_ORDER).agg(F.collect_set(_LINE).alias("_cuts"))
-    passed = F.filter("_cuts", lambda cut: cut <= F.col(_LINE))
-    return (
-        join_by_key(rows, cuts, [_ORDER], "left", small=True)
-        .withColumn("_range", F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(passed)))
-        .drop("_cuts")
+    met = spread_copies(join_by_key(inside, earlier, [_ORDER, "_range"]), "_copies")
+    return met.select(
+        *rows.columns,
+        *[
+            (F.col(f"_base_{n}") + F.col(f"_in_all_{n}") + (F.col("_copy") - 1) * F.coalesce(f"_{n}", F.lit(0)))
+            .alias(f"_before_{n}")
+            for n in names
+        ],
     )
 
 
-def sums_before(
-    rows: DataFrame, names: tuple[str, ...], hot: DataFrame, hot_rows: int
-) -> DataFrame:
+def sums_before(rows: DataFrame, names: tuple[str, ...], hot: DataFrame) -> DataFrame:
     """Adds ``_before_x`` for every x in ``names``: the sum of ``_x`` over the order's
     lines before this one, by line id.
 
-    A hot order is cut into ranges of line ids; sums over whole ranges are added
-    to the running sums inside each.
+    ``_x`` must not be NULL. ``hot`` is looked up at once: without hot orders the
+    plan has one window and no other branch.
     """
+    if hot.isEmpty():
+        return _sums_before(rows, [_ORDER], _BY_LINE, names, "_before_")
+    hot = written(hot, "hot-orders")
     few, many = split_hot(rows, hot, [_ORDER])
     ordinary = _sums_before(few, [_ORDER], _BY_LINE, names, "_before_")
-
-    ranged = _cut_into_ranges(many, hot_rows)
-    range_sums = ranged.groupBy(_ORDER, "_range").agg(
-        *[F.sum(f"_{n}").alias(f"_{n}") for n in names]
-    )
-    earlier = _sums_before(range_sums, [_ORDER], ("_range",), names, "_base_").drop(
-        *[f"_{n}" for n in names]
-    )
-    inside = _sums_before(ranged, [_ORDER, "_range"], _BY_LINE, names, "_in_")
-    crowded = join_by_key(inside, earlier, [_ORDER, "_range"]).withColumns(
-        {f"_before_{n}": F.col(f"_base_{n}") + F.col(f"_in_{n}") for n in names}
-    )
-    return ordinary.unionByName(crowded.select(*ordinary.columns))
+    return ordinary.unionByName(_sums_before_by_ranges(many, names).select(*ordinary.columns))
 
 
 def running_sums(
@@ -193,9 +199,9 @@ def running_sums(
     """
     hot = hot_keys(paid, [_ORDER], hot_rows) if hot is None else hot
     amounts = paid.withColumns(
-        {"_origin": line_cents(), "_split": to_cents(F.col("final_detail_amount"))}
+        {"_origin": line_cents(), "_split": to_cents(F.col(_SHARE))}
     )
     names = ("origin", "split")
-    return sums_before(amounts, names, hot, hot_rows).select(
+    return sums_before(amounts, names, hot).select(
         *paid.columns, *[from_cents(F.col(f"_before_{n}")).alias(f"{n}_before") for n in names]
     )

@@ -118,7 +118,7 @@ def allocate_batch(
             "_lines": F.lit(1).cast("bigint"),
         }
     )
-    summed = sums_before(lines, _SUMS, hot_keys(wide, ["order_id"], hot_rows), hot_rows)
+    summed = sums_before(lines, _SUMS, hot_keys(wide, ["order_id"], hot_rows))
 
     def before(name: str):
         return F.col(f"_before_{name}") + F.coalesce(f"_earlier_{name}", F.lit(0))

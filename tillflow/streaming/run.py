@@ -1,7 +1,5 @@
 """Starting streaming queries: checkpoints, state store, triggers."""
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -9,30 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillflow import fixed_values as fv
+from tillflow.scratch import new_folder
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it.
-
-    Only where none is named, and only on a single machine, a local one is made.
-    """
-    named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        return named
-    master = spark.conf.get("spark.master", "hidden")
-    if master != "local" and not master.startswith("local["):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="tillflow-")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own for one run, below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/tillflow/{name}-{uuid.uuid4().hex}"
-
-
 @contextmanager
 def _query_settings(spark: SparkSession):
     """Settings a query takes over when it starts; the session's own come back after.
