@@ -10,8 +10,8 @@ from tillflow.operators.routing import route_maxwell, split_app_log
 from tillflow.plans import dashboard
 from tillflow.sources import tables, topics
 from tillflow.streaming import jobs, run
-from tillflow.streaming.allocation import allocate_batch, allocate_stream, seed_sums
-from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state
+from tillflow.streaming.allocation import allocate_batch, allocate_stream, order_sums
+from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state, user_state
 from tillflow.streaming.visits import first_visits_stream
 from tillflow.streaming.wide import join_lines_stream, join_sales_stream
 
@@ -191,7 +191,6 @@ def test_allocation_carries_its_sums_from_batch_to_batch(feed, finish):
 def test_allocation_with_its_sums_in_a_table(feed, spark, tmp_path, hot_rows):
     lines = feed("wide", "order_id bigint, order_detail_id bigint, sku_price double, sku_num bigint, final_total_amount double, original_total_amount double, final_detail_amount double")
     state, out = f"{tmp_path}/state", f"{tmp_path}/shares"
-    seed_sums(spark, state)
 
     def write(batch, batch_id):
         for _ in range(2):  # as if the batch ran again after its sums were written
@@ -219,7 +218,6 @@ def test_one_rule_for_stream_and_batch_whatever_the_ids(feed, finish, spark, tmp
     ids = [9, 9, 9, 5, 4, 4, 3, None, None, None]
     lines.add(*[(1, n, 10.0, 1, 66.66, 100.0, 0.0) for n in ids])
     expected = sorted((str(n), 6.67) for n in ids if n != 9) + [("9", 6.63), ("9", 6.67), ("9", 6.67)]
-    seed_sums(spark, f"{tmp_path}/state")
     forms = [finish(allocate_stream(lines.stream())), *[allocation.allocate(lines.table(), hot_rows=h) for h in (10**6, 3)],
              *[allocate_batch(lines.table(), 0, f"{tmp_path}/state", h) for h in (10**6, 3)]]
     for shares in forms:
@@ -329,10 +327,10 @@ def test_all_jobs_from_change_messages_to_dashboard(spark, rows, tmp_path, in_ta
         return spark.readStream.schema("value string").parquet(path)
 
     def ods(table):
-        return topics.read_topic_stream(spark, house.topics("ods"), f"ODS_{table.upper()}")
+        return house.messages(spark, "ods", f"ODS_{table.upper()}")
 
     def topic(layer, name):
-        return topics.read_topic_stream(spark, house.topics(layer), name)
+        return house.messages(spark, layer, name)
 
     def done(query):
         query.awaitTermination()
@@ -351,7 +349,7 @@ def test_all_jobs_from_change_messages_to_dashboard(spark, rows, tmp_path, in_ta
     assert as_set(mart, "order_detail_id", "final_detail_amount", "if_first_order", "province_name", "user_gender", "tm_name", "spu_name", "category3_name") == {
         (n, share, "1", "Hebei", "男", "x:y", "spu", "phones") for n, share in [(1, 33.33), (2, 33.33), (3, 33.34)]
     }
-    state = spark.read.parquet(house.table("user_state"))
+    state = user_state(house.table("user_state")).now(spark)
     assert as_set(state, "user_id", "if_consumed") == {("1", "1")}
 
     logs = f"{tmp_path}/logs"

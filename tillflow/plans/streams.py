@@ -16,7 +16,7 @@ from tillflow.plans.parameters import (
 )
 from tillflow.sources.tables import replace_batch
 from tillflow.streaming import jobs
-from tillflow.streaming.allocation import allocate_batch, allocate_stream, seed_sums
+from tillflow.streaming.allocation import allocate_batch, allocate_stream
 from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state
 from tillflow.streaming.run import new_folder, run_to_table, start_batches
 from tillflow.streaming.visits import first_visits_stream
@@ -156,7 +156,6 @@ def order_split_amount_batch_stream(spark, sf_dir):
     """The whole chain with the sums per order in a table."""
     joined = _joined_with_totals(spark, sf_dir)
     folder = new_folder(spark, "split_amount_batches")
-    seed_sums(spark, f"{folder}/state")
 
     def write(batch, batch_id):
         batch.persist()

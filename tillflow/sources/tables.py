@@ -1,14 +1,12 @@
 """Dimension and report tables: reads, upserts, repeatable batch writes, JDBC."""
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow import fixed_values as fv
 from tillflow.operators.keyed import latest_by_key
+from tillflow.sources.state import BATCH, RUN
 
-BATCH = "batch_id"
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
@@ -45,15 +43,19 @@ def append_jdbc(
     ).save()
 
 
-def replace_batch(rows: DataFrame, batch_id: int, path: str, by: list[str] | None = None) -> None:
+def replace_batch(
+    rows: DataFrame, batch_id: int, path: str, by: list[str] | None = None, run: str | None = None
+) -> None:
     """Writes a batch as its own partition, replacing all that an earlier try left.
 
     This makes a ``foreachBatch`` sink idempotent: progress is in the query's
     checkpoint, and a batch that is run again overwrites its own rows, also
-    where the new try has fewer partitions or none.
+    where the new try has fewer partitions or none. With ``run``, which stands
+    for the checkpoint, a new checkpoint that counts from 0 again replaces nothing.
     """
-    writer = rows.drop(BATCH).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*by) if by else writer).parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
+    folder = f"{path.rstrip('/')}/{RUN}={run}" if run else path.rstrip("/")
+    writer = rows.drop(BATCH, RUN).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*by) if by else writer).parquet(f"{folder}/{BATCH}={batch_id}")
 
 
 def append_rows(rows: DataFrame, path: str, by: list[str] | None = None) -> None:
@@ -61,15 +63,6 @@ def append_rows(rows: DataFrame, path: str, by: list[str] | None = None) -> None
     rows.write.mode("append").partitionBy(*(by or [])).parquet(path)
 
 
-def batch_sink(path: str, by: list[str] | None = None) -> Callable[[DataFrame, int], None]:
-    """``replace_batch`` as a ``foreachBatch`` function."""
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        replace_batch(rows, batch_id, path, by)
-
-    return write
-
-
 def latest_rows(
     spark: SparkSession, path: str, keys: list[str], version: list[str] | None = None
 ) -> DataFrame:
@@ -79,7 +72,7 @@ def latest_rows(
     brought it; the batch decides between equal or missing versions.
     """
     log = spark.read.parquet(path)
-    return latest_by_key(log, keys, [*(version or []), BATCH]).drop(BATCH)
+    return latest_by_key(log, keys, [*(version or []), BATCH]).drop(BATCH, RUN)
 
 
 def compact(

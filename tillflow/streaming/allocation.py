@@ -3,18 +3,19 @@
 import math
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tillflow.functions.money import from_cents, share_cents, to_cents
 from tillflow.operators.allocation import line_cents, paid_cents, sums_before
 from tillflow.operators.skew import HOT_ROWS, hot_keys
-from tillflow.sources.tables import BATCH, replace_batch
+from tillflow.sources.state import ONLY_RUN, KeyedState
 
 _SHARE = "final_detail_amount"
 _SUMS = ("origin", "split", "lines")
-_STATE = f"order_id bigint, origin bigint, split bigint, lines bigint, {BATCH} bigint"
+_STATE = StructType([StructField(c, LongType()) for c in ("order_id", *_SUMS)])
 
 
 def _cents(amount: float) -> int:
@@ -84,33 +85,31 @@ def allocate_stream(wide: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     )
 
 
-def seed_sums(spark: SparkSession, state_path: str) -> None:
-    """Makes the empty table of sums that ``allocate_batch`` keeps."""
-    replace_batch(spark.createDataFrame([], _STATE).drop(BATCH), -1, state_path)
+def order_sums(path: str) -> KeyedState:
+    """The table of the sums per order."""
+
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("order_id").agg(*[F.sum(n).alias(n) for n in _SUMS])
+
+    return KeyedState(path, _STATE, ("order_id",), merge)
 
 
 def allocate_batch(
-    wide: DataFrame, batch_id: int, state_path: str, hot_rows: int = HOT_ROWS
+    wide: DataFrame, batch_id: int, state_path: str, hot_rows: int = HOT_ROWS, run: str = ONLY_RUN
 ) -> DataFrame:
     """``allocate_stream`` for one micro-batch, with the state in a table.
 
     For ``foreachBatch``, where one order may bring a large part of a batch: the
     running sums inside the batch are those of the batch operators, by line id
     and whatever the size, and nothing passes through Python. Every batch adds
-    its sums per order to the table at ``state_path`` under its own number, and
+    its sums per order to ``order_sums`` under the run and its own number, and
     only those of earlier batches count, so a batch that runs again comes to the
     same result. Persist the batch first: it is read more than once.
     """
+    state = order_sums(state_path)
+    state.compact(wide.sparkSession, run, batch_id)
     whole = to_cents(F.col("original_total_amount"))
-    here = wide.select("order_id").distinct()
-    earlier = (
-        wide.sparkSession.read.schema(_STATE)
-        .parquet(state_path)
-        .filter(F.col(BATCH) < batch_id)
-        .join(here, "order_id", "left_semi")
-        .groupBy("order_id")
-        .agg(*[F.sum(n).alias(f"_earlier_{n}") for n in _SUMS])
-    )
+    earlier = state.before(wide, run, batch_id).select("order_id", *[F.col(n).alias(f"_earlier_{n}") for n in _SUMS])
     lines = wide.withColumns(
         {
             "_origin": line_cents(),
@@ -138,6 +137,6 @@ def allocate_batch(
         F.coalesce(F.sum("_share"), F.lit(0)).alias("split"),
         F.count(F.lit(1)).alias("lines"),
     )
-    replace_batch(sums, batch_id, state_path)
+    state.add(sums, run, batch_id)
     others = [c for c in wide.columns if c != _SHARE]
     return paid.select(*others, from_cents(F.col("_share")).alias(_SHARE)).select(*wide.columns)

@@ -6,37 +6,43 @@ from Kafka or a topic folder; progress and state live in the checkpoint. Without
 
 Output of the order jobs goes through ``foreachBatch``: the dimension tables are
 read anew for every batch, so their updates are seen, and every batch replaces
-its own partition of the output. A job that reads the output as a topic takes a
-batch that was run again for new input.
+its own partition of the output. Topics between jobs are logs of committed batches
+(``sources.topic_log``): a batch that is run again upstream is seen once, and a job
+with a new checkpoint is a new run, which adds and replaces nothing.
 
 Messages a job can't use (not one JSON object, or without a readable id or time)
 go to the table ``rejects``, by job; they are neither lost nor do they stop it.
 """
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tillflow import fixed_values as fv
 from tillflow import schemas
 from tillflow.functions.records import parse_records, rejects, to_messages
 from tillflow.operators import dims, marts, orders
-from tillflow.sources.tables import latest_rows, replace_batch
+from tillflow.operators.keyed import latest_by_key
+from tillflow.sources.state import KeyedState
+from tillflow.sources.tables import replace_batch
+from tillflow.sources.topic_log import commit_batch, read_positions, run_of
 from tillflow.sources.topics import VERSION, with_key
-from tillflow.streaming.allocation import allocate_batch, allocate_stream, seed_sums
-from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state
-from tillflow.streaming.run import start_append, start_batches
+from tillflow.streaming.allocation import allocate_batch, allocate_stream
+from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state, user_state
+from tillflow.streaming.run import start_append, start_batches, start_topics
 from tillflow.streaming.visits import first_visits_stream
 from tillflow.streaming.wide import join_lines_stream
 
 
 _HAS_ID = {"id": "bigint"}
+# When a row of a dimension was written, in nanoseconds.
+_WRITTEN = "written"
 # What a message of the wide join must have.
 WIDE_NEEDS = {"id": "bigint", "create_time": "timestamp"}
 
@@ -56,25 +62,40 @@ class Warehouse:
     def checkpoint(self, job: str) -> str:
         return f"{self.root}/checkpoints/{job}"
 
-    def dimension(self, spark: SparkSession, name: str) -> DataFrame:
-        """The newest row per id of a dimension; none before its job has first written.
+    def run(self, job: str) -> str:
+        """The run that a job's checkpoint stands for."""
+        return run_of(self.checkpoint(job))
+
+    def messages(
+        self, spark: SparkSession, layer: str, topic: str, starting: str | dict[int, int] = "earliest"
+    ) -> DataFrame:
+        """A topic of a layer as a stream of committed messages, from given positions."""
+        return read_positions(spark, self.topics(layer), topic, starting)
+
+    def dimension_state(self, name: str) -> KeyedState:
+        """The newest row per id of a dimension, as a table of state.
 
-        The newest is the one whose change came last at the source.
+        The newest is the one whose change came last at the source; among equal or
+        missing places the one that was written last.
         """
-        try:
-            rows = latest_rows(spark, self.table(name), ["id"], VERSION)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], schemas.DIMENSIONS[name])
-        return rows.drop(*VERSION)
+        added = StructType([StructField(c, LongType()) for c in (*VERSION, _WRITTEN)])
+        schema = StructType([*schemas.DIMENSIONS[name].fields, *added.fields])
+
+        def merge(rows: DataFrame) -> DataFrame:
+            return latest_by_key(rows, ["id"], added.names)
+
+        return KeyedState(self.table(name), schema, ("id",), merge)
+
+    def dimension(self, spark: SparkSession, name: str) -> DataFrame:
+        """The rows of a dimension; none before its job has first written."""
+        return self.dimension_state(name).now(spark).drop(*VERSION, _WRITTEN)
 
     def keep_rejects(
         self, batch: DataFrame, batch_id: int, job: str, schema: StructType, required: dict[str, str]
     ) -> None:
         """Writes the messages of a batch that ``parse_records`` leaves out."""
         replace_batch(
-            _message(rejects(batch, schema, required=required)), batch_id, self._rejects(job)
+            _message(rejects(batch, schema, required=required)), batch_id, self._rejects(job), run=self.run(job)
         )
 
     def rejects(self, spark: SparkSession, job: str) -> DataFrame:
@@ -93,11 +114,12 @@ def _message(messages: DataFrame) -> DataFrame:
 Publish = Callable[[DataFrame], None]
 
 
-def _send(messages: DataFrame, batch_id: int, path: str, publish: Publish | None) -> None:
-    """Messages of a batch to a folder of topics, and to ``publish`` as well."""
-    replace_batch(messages, batch_id, path, by=["topic"])
+def _send(messages: DataFrame, batch_id: int, house: Warehouse, job: str, publish: Publish | None) -> None:
+    """Messages of a batch to the topics of a layer, once, and to ``publish`` as well."""
+    keyed = with_key(messages)
+    commit_batch(keyed, house.topics(job), house.run(job), batch_id)
     if publish:
-        publish(with_key(messages))
+        publish(keyed)
 
 
 def start_rejects(
@@ -130,7 +152,7 @@ def start_router(
     every: str | None = None,
     publish: Publish | None = None,
 ) -> StreamingQuery:
-    """Routes messages to the topics of a layer, exactly once.
+    """Routes messages to the topics of a layer, as committed batches.
 
     ``route`` is one of ``split_app_log``, ``route_canal`` and ``route_maxwell``.
     With ``publish`` (for example ``write_kafka`` with its servers) each batch of
@@ -141,8 +163,8 @@ def start_router(
         return start_batches(
             routed, lambda batch, _: publish(batch), house.checkpoint(f"route_{layer}"), every
         )
-    return start_append(
-        routed, house.topics(layer), house.checkpoint(f"route_{layer}"), every, by=["topic"]
+    return start_topics(
+        routed, house.topics(layer), house.run(f"route_{layer}"), house.checkpoint(f"route_{layer}"), every
     )
 
 
@@ -172,7 +194,10 @@ def start_dimension(
         rows = parse_records(batch, schema, required=required, keep=keep)
         for missing in set(VERSION) - set(keep):
             rows = rows.withColumn(missing, F.lit(None).cast("bigint"))
-        replace_batch(prepare(rows) if prepare else rows, batch_id, house.table(name))
+        rows = rows.withColumn(_WRITTEN, F.lit(time.time_ns()))
+        state, run = house.dimension_state(name), house.run(name)
+        state.compact(batch.sparkSession, run, batch_id)
+        state.add(state.merge(prepare(rows) if prepare else rows), run, batch_id)
 
     return start_batches(messages, write, house.checkpoint(name), every)
 
@@ -240,17 +265,16 @@ def start_orders(
         batch.persist()
         try:
             if state_in_table:
-                flagged = flag_batch(batch, batch_id, state)
+                flagged = flag_batch(batch, batch_id, state, house.run("dwd_order"))
             else:
                 flagged = batch
-                replace_batch(orders.new_customers(batch), batch_id, state)
+                user_state(state).add(orders.new_customers(batch), house.run("dwd_order"), batch_id)
             full = orders.add_user(
                 orders.add_province(flagged, house.dimension(spark, "base_province")),
                 house.dimension(spark, "user_info"),
             )
             _send(
-                to_messages(full, fv.TOPIC_ORDER_INFO, key="id"), batch_id,
-                house.topics("dwd_order"), publish,
+                to_messages(full, fv.TOPIC_ORDER_INFO, key="id"), batch_id, house, "dwd_order", publish,
             )
         finally:
             batch.unpersist()
@@ -271,8 +295,7 @@ def start_details(
         rows = parse_records(batch, schemas.ORDER_DETAIL, required=_HAS_ID)
         full = orders.add_sku(rows, house.dimension(batch.sparkSession, "sku_info"))
         _send(
-            to_messages(full, fv.TOPIC_ORDER_DETAIL, key="order_id"), batch_id,
-            house.topics("dwd_detail"), publish,
+            to_messages(full, fv.TOPIC_ORDER_DETAIL, key="order_id"), batch_id, house, "dwd_detail", publish,
         )
 
     return start_batches(messages, write, house.checkpoint("dwd_detail"), every)
@@ -310,19 +333,15 @@ def start_wide(
         salts=salts,
     )
     sums = house.table("order_sums")
-    if sums_in_table:
-        seed_sums(joined.sparkSession, sums)
-        rows = joined
-    else:
-        rows = allocate_stream(joined, ttl_ms)
+    rows = joined if sums_in_table else allocate_stream(joined, ttl_ms)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         paid = batch.persist()
         try:
             if sums_in_table:
-                paid = allocate_batch(batch, batch_id, sums).persist()
-            _send(to_messages(paid, fv.TOPIC_ORDER_WIDE), batch_id, house.topics("dws"), publish)
-            replace_batch(paid, batch_id, house.table("order_wide"), by=["dt"])
+                paid = allocate_batch(batch, batch_id, sums, run=house.run("dws")).persist()
+            _send(to_messages(paid, fv.TOPIC_ORDER_WIDE), batch_id, house, "dws", publish)
+            replace_batch(paid, batch_id, house.table("order_wide"), by=["dt"], run=house.run("dws"))
             if also:
                 also(paid)
         finally:
@@ -345,7 +364,7 @@ def start_trademark_report(
         rows = parse_records(batch, schemas.ORDER_WIDE)
         replace_batch(
             marts.trademark_stat(rows, F.lit(clock()).cast("timestamp")), batch_id,
-            house.table("trademark_amount_stat"),
+            house.table("trademark_amount_stat"), run=house.run("ads_trademark"),
         )
 
     return start_batches(messages, write, house.checkpoint("ads_trademark"), every)

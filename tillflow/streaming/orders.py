@@ -9,7 +9,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tillflow import fixed_values as fv
 from tillflow.operators.orders import flag_first_orders, new_customers
-from tillflow.sources.tables import BATCH, replace_batch
+from tillflow.schemas import USER_STATE
+from tillflow.sources.state import ONLY_RUN, SEED, KeyedState
 
 _FLAG = "if_first_order"
 
@@ -56,28 +57,35 @@ class _FirstOrder(StatefulProcessor):
         pass
 
 
+def user_state(path: str) -> KeyedState:
+    """The table of users who have ordered."""
+
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("user_id").agg(F.max("if_consumed").alias("if_consumed"))
+
+    return KeyedState(path, USER_STATE, ("user_id",), merge)
+
+
 def seed_state(known: DataFrame, state_path: str) -> None:
     """Writes the users who ordered before the first batch; there may be none."""
-    replace_batch(known.select("user_id", "if_consumed"), -1, state_path)
+    user_state(state_path).add(known, SEED, -1)
 
 
-def flag_batch(rows: DataFrame, batch_id: int, state_path: str) -> DataFrame:
+def flag_batch(rows: DataFrame, batch_id: int, state_path: str, run: str = ONLY_RUN) -> DataFrame:
     """``if_first_order`` for one micro-batch, with the state in a table.
 
     For ``foreachBatch``, where one user may bring a large part of a batch: the
     flag is found by a combined aggregation and nothing passes through Python.
-    The users whose first order is in this batch are added to the table at
-    ``state_path`` (made by ``seed_state``) under the batch's number, and only
-    what earlier batches wrote counts as state, so a batch that runs again comes
-    to the same result.
+    The users whose first order is in this batch are added to ``user_state``
+    under the run and the batch's number, and only what earlier batches wrote
+    counts, so a batch that runs again comes to the same result. Persist the
+    batch first: it is read more than once.
     """
-    state = (
-        rows.sparkSession.read.schema(f"user_id string, if_consumed string, {BATCH} bigint")
-        .parquet(state_path)
-        .filter(F.col(BATCH) < batch_id)
-    )
-    flagged = flag_first_orders(rows, state)
-    replace_batch(new_customers(flagged), batch_id, state_path)
+    state = user_state(state_path)
+    state.compact(rows.sparkSession, run, batch_id)
+    known = state.before(rows.select(F.col("user_id").cast("string").alias("user_id")), run, batch_id)
+    flagged = flag_first_orders(rows, known)
+    state.add(new_customers(flagged), run, batch_id)
     return flagged
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillflow import fixed_values as fv
 from tillflow.scratch import new_folder
+from tillflow.sources.topic_log import FORMAT, TopicLogSource
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -69,6 +70,23 @@ def start_batches(
         )
 
 
+def start_topics(
+    messages: DataFrame, root: str, run: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Streams (topic, key, value, at) messages to a topic log, each batch committed once."""
+    messages.sparkSession.dataSource.register(TopicLogSource)
+    with _query_settings(messages.sparkSession):
+        return (
+            messages.select("topic", "key", "value", "at").writeStream.format(FORMAT)
+            .outputMode("append")
+            .option("path", root)
+            .option("run", run)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**_trigger(every))
+            .start()
+        )
+
+
 def start_preview(rows: DataFrame, every: str = fv.LONG_BATCH) -> StreamingQuery:
     """Prints the first rows of every batch."""
     with _query_settings(rows.sparkSession):
