@@ -281,10 +281,7 @@ SQL: dict[str, str] = {
 
 SQL |= {
     "log_route_stream": SQL["log_route"],
-    "dau_first_visit_stream": f"""
-        SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS dt, CAST(user_id AS VARCHAR) AS mid,
-               '{fv.VISIT_MINUTE}' AS mi
-        FROM events""",
+    "dau_first_visit_stream": SQL["dau_first_visit"],
     "order_first_flag_stream": SQL["order_first_flag_state"],
     "order_first_flag_batch_stream": SQL["order_first_flag_state"],
     "order_wide_stream": _with("o", "l") + f"""
@@ -296,7 +293,12 @@ SQL |= {
         FROM l JOIN o ON l.order_id = o.id AND {_SALE_NEAR}""",
     "order_split_amount_stream": SQL["order_split_amount"],
     "order_split_amount_batch_stream": SQL["order_split_amount"],
-    "trademark_window_stream": f"""
-        SELECT * FROM ({SQL["trademark_window"]})
-        WHERE CAST(window_end AS TIMESTAMP) <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+    "trademark_window_stream": SQL["trademark_window"],
+    "sale_full_outer_stream": SQL["sale_full_outer"],
+    "trademark_stat_stream": f"""
+        SELECT CAST(tm_id AS VARCHAR) AS trademark_id, tm_name AS trademark_name, amount
+        FROM ({SQL["trademark_amount"]})""",
+    "topic_positions_stream": """
+        SELECT event_id, user_id FROM events
+        WHERE ts >= (SELECT min(ts) + (max(ts) - min(ts)) / 3 FROM events)""",
 }

@@ -1,25 +1,33 @@
 """Catalog queries that run the streaming operators over the given tables.
 
 Each runs a stream over all rows of its tables to the end and returns what was
-written. The files of a table are not in time order, so the watermark's delay is
-longer than the tables' time span: no row is ever late, and none is dropped.
+written. The files of a table are not in time order. Some queries give the
+watermark a delay longer than the tables' time span, so no row is late; others
+first commit the rows as messages in parts by time and run the stream after each
+part, from where it stopped, so the watermark moves and state is dropped; a closing
+record at the end lets out what is still held.
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
+from tillflow import fixed_values as fv
 from tillflow import schemas
+from tillflow.functions.records import to_messages
 from tillflow.operators import marts, orders, routing
 from tillflow.plans import adapters as a
-from tillflow.plans.catalog import _window_texts, query
+from tillflow.plans.catalog import _paid, _window_texts, query
 from tillflow.plans.parameters import (
     CHAIN_DAYS, INTERVAL_DAYS, NEVER_LATE, STATE_BEFORE, STREAM_SALTS,
 )
 from tillflow.sources.tables import replace_batch
+from tillflow.sources.topic_log import TopicLog, commit_batch, read_positions
+from tillflow.sources.topics import with_key
 from tillflow.streaming import jobs
 from tillflow.streaming.allocation import allocate_batch, allocate_stream
 from tillflow.streaming.orders import flag_batch, flag_first_orders_stream, seed_state
-from tillflow.streaming.run import new_folder, run_to_table, start_batches
-from tillflow.streaming.visits import first_visits_stream
+from tillflow.streaming.run import END_OF_INPUT, new_folder, run_to_table, start_append, start_batches
+from tillflow.streaming.visits import first_visits_by_time
 from tillflow.streaming.wide import join_lines_stream, join_sales_stream
 
 _DAY = 86_400
@@ -35,10 +43,94 @@ def log_route_stream(spark, sf_dir):
     )
 
 
+def _parts(rows, by: str, count: int = 3):
+    """``rows`` in parts by time, of about equal length in time."""
+    bounds = rows.agg(F.min(by).alias("low"), F.max(by).alias("high")).first()
+    step = (bounds.high - bounds.low) / count
+    cuts = [bounds.low + step * i for i in range(1, count)]
+    edges = [None, *cuts, None]
+    for low, high in zip(edges, edges[1:], strict=False):
+        part = rows if low is None else rows.filter(F.col(by) >= F.lit(low))
+        yield part if high is None else part.filter(F.col(by) < F.lit(high))
+
+
+class _Turns:
+    """Messages committed in parts, and a stream over them that runs on after each part.
+
+    A run takes all that is committed as one micro-batch; the next one starts with the
+    watermark that it left.
+    """
+
+    def __init__(self, spark, name):
+        self.spark, self.folder, self.number = spark, new_folder(spark, name), 0
+        self.root = f"{self.folder}/topics"
+
+    def commit(self, topic, rows, key, batch=None):
+        """The rows as JSON; returns the number of the batch."""
+        message = F.to_json(F.struct("*")).alias("value")
+        messages = rows.select(F.lit(topic).alias("topic"), F.col(key).cast("string").alias("key"), message)
+        self.number += batch is None
+        commit_batch(with_key(messages), self.root, "turns", self.number if batch is None else batch)
+        return self.number if batch is None else batch
+
+    def stream(self, topic, schema, starting="earliest"):
+        parsed = F.from_json("value", schema).alias("row")
+        return read_positions(self.spark, self.root, topic, starting).select(parsed).select("row.*")
+
+    def close(self, run, *ends):
+        """Commits closing records (topic, row, key), and what they let out comes with the next message."""
+        for _ in range(2):
+            for topic, row, key in ends:
+                self.commit(topic, row, key)
+            rows = run()
+        return rows
+
+    def run(self, rows):
+        """One run of the stream ``rows`` makes, to the end of what is committed."""
+        query = start_append(rows, f"{self.folder}/rows", f"{self.folder}/checkpoint")
+        query.awaitTermination()
+        return self.spark.read.schema(rows.schema).parquet(f"{self.folder}/rows")
+
+
+def _end(spark, schema, **values):
+    """A closing record: its time, else nothing."""
+    free = StructType([StructField(f.name, f.dataType) for f in schema.fields])
+    return spark.createDataFrame([tuple(values.get(n) for n in schema.names)], free)
+
+
 @query
 def dau_first_visit_stream(spark, sf_dir):
-    logs = a.app_logs(a.table_stream(spark, sf_dir, "events"))
-    return run_to_table(first_visits_stream(logs, NEVER_LATE, STREAM_SALTS), "first_visit").select("dt", "mid", "mi")
+    """Earliest visits by event time; a day comes out when it is over."""
+    logs = a.app_logs(a.table(spark, sf_dir, "events"))
+    turns, schema = _Turns(spark, "first_visit"), logs.schema
+
+    def run():
+        return turns.run(first_visits_by_time(turns.stream("APP_LOG", schema)))
+
+    for part in _parts(logs, "ts"):
+        turns.commit("APP_LOG", part, "ts")
+        run()
+    return turns.close(run, ("APP_LOG", _end(spark, schema, ts=int(END_OF_INPUT.timestamp() * 1000)), "ts"))
+
+
+@query
+def topic_positions_stream(spark, sf_dir):
+    """Events from given positions on; a restart and a repeated batch upstream bring nothing twice."""
+    events = a.table(spark, sf_dir, "events").select("event_id", "user_id", a.instant("ts").alias("ts"))
+    before, first, second = _parts(events, "ts")
+    turns = _Turns(spark, "topic_positions")
+    turns.commit("EVENTS", before, "user_id")
+    log = TopicLog(turns.root)
+    positions = {int(p): at for p, at in log.ends("EVENTS", log.last()).items()}
+
+    def run():
+        return turns.run(turns.stream("EVENTS", events.schema, positions))
+
+    number = turns.commit("EVENTS", first, "user_id")
+    run()
+    turns.commit("EVENTS", first, "user_id", batch=number)
+    turns.commit("EVENTS", second, "user_id")
+    return run().select("event_id", "user_id")
 
 
 @query
@@ -171,17 +263,77 @@ def order_split_amount_batch_stream(spark, sf_dir):
 
 @query
 def trademark_window_stream(spark, sf_dir):
-    """Hourly amounts; windows come out once the watermark has passed their end.
+    """Hourly amounts; windows come out once the watermark has passed their end, the last ones behind a closing record.
 
-    That needs a short delay, so here all files make one micro-batch. The sums
-    are combined before the shuffle, whatever a key's share of it.
+    The sums are combined before the shuffle, whatever a key's share of it.
     """
-    rows = a.table_stream(spark, sf_dir, "events", files_per_batch=None).select(
+    rows = a.table(spark, sf_dir, "events").select(
         a.instant("ts").alias("ts"),
         F.get_json_object("props", "$.k").cast("bigint").alias("tm_id"),
         F.col("value").alias("paid"),
     )
-    windows = marts.amount_by_window(
-        rows.withWatermark("ts", "10 minutes"), "ts", "paid", ["tm_id"], "1 hour"
+    turns, schema = _Turns(spark, "trademark_window"), rows.schema
+
+    def run():
+        timed = turns.stream("PAID", schema).withWatermark("ts", "10 minutes").filter(F.col("ts") < END_OF_INPUT)
+        return turns.run(marts.amount_by_window(timed, "ts", "paid", ["tm_id"], "1 hour"))
+
+    for part in _parts(rows, "ts"):
+        turns.commit("PAID", part, "tm_id")
+        run()
+    return _window_texts(turns.close(run, ("PAID", _end(spark, schema, ts=END_OF_INPUT), "tm_id")))
+
+
+@query
+def sale_full_outer_stream(spark, sf_dir):
+    """Pairs, and rows of either side that met none, which come out when their time is over.
+
+    Both feeds come in parts by time. The delay covers what one run can read of
+    one feed before the other, and the closing records let out the rest.
+    """
+    o = orders.add_order_dates(a.order_info(a.table(spark, sf_dir, "orders")))
+    l = a.order_detail(a.table(spark, sf_dir, "lineitem"))
+    turns = _Turns(spark, "sale_full_outer")
+
+    def run():
+        joined = join_sales_stream(
+            turns.stream("ORDERS", o.schema), turns.stream("LINES", l.schema), bound=INTERVAL_DAYS * _DAY
+        )
+        return turns.run(joined.select(*_SALE))
+
+    timed = [rows.withColumn("_at", F.to_timestamp("create_time")) for rows in (o, l)]
+    for order_part, line_part in zip(*[_parts(rows, "_at") for rows in timed], strict=True):
+        turns.commit("ORDERS", order_part.drop("_at"), "id")
+        turns.commit("LINES", line_part.drop("_at"), "order_id")
+        run()
+    end = END_OF_INPUT.strftime("%Y-%m-%d %H:%M:%S")
+    return turns.close(
+        run, ("ORDERS", _end(spark, o.schema, create_time=end), "id"), ("LINES", _end(spark, l.schema, create_time=end), "order_id")
     )
-    return _window_texts(run_to_table(windows, "trademark_window"))
+
+
+_SALE = (
+    "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id", "user_age", "sku_price", "dt",
+)
+
+
+@query
+def trademark_stat_stream(spark, sf_dir):
+    """Report rows per batch; a batch that is run again upstream changes none.
+
+    Two batches of paid lines are committed, the first of them twice, and the
+    report runs after each. Its rows add up to the amounts per trademark.
+    """
+    part = a.table(spark, sf_dir, "part")
+    brands = a.sku_info(part).select(F.col("id").cast("bigint").alias("sku_id"), F.col("tm_id").cast("bigint").alias("tm_id"))
+    names = a.trademarks(part).select(F.col("id").cast("bigint").alias("tm_id"), "tm_name")
+    lines = _paid(spark, sf_dir).select("order_id", "order_detail_id", "sku_id", "final_detail_amount")
+    lines = lines.join(brands, "sku_id", "left").join(names, "tm_id", "left").drop("sku_id", "order_detail_id")
+    house = jobs.Warehouse(new_folder(spark, "trademark_stat"))
+    messages = with_key(to_messages(lines, fv.TOPIC_ORDER_WIDE))
+    halves = [with_key(to_messages(lines.filter(F.col("order_id") % 2 == i), fv.TOPIC_ORDER_WIDE)) for i in (0, 1)]
+    for batch, half in ((0, halves[0]), (0, halves[0]), (1, halves[1]), (1, messages.limit(0))):
+        commit_batch(half, house.topics("dws"), "upstream", batch)
+        jobs.start_trademark_report(house.messages(spark, "dws", fv.TOPIC_ORDER_WIDE), house).awaitTermination()
+    stat = spark.read.schema(schemas.TRADEMARK_STAT).parquet(house.table("trademark_amount_stat"))
+    return stat.groupBy("trademark_id", "trademark_name").agg(F.sum("amount").cast("double").alias("amount"))

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -12,6 +13,10 @@ from tillflow.sources.topic_log import FORMAT, TopicLogSource
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# The event time of a closing record: the last message of a feed that ends. Windows, days
+# and buffers come out when it has passed. Operators leave it out after the watermark.
+END_OF_INPUT = datetime(9000, 1, 1, tzinfo=timezone.utc)
+
 
 @contextmanager
 def _query_settings(spark: SparkSession):
