@@ -40,9 +40,7 @@ def brute_components(docs, width, percent):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    known = Tokenizer.from_file(packing.tokenizer_path())
-    known.encode_special_tokens = True
-    return known
+    return Tokenizer.from_file(packing.tokenizer_path())
 
 
 def check_packing(docs, rows, capacity=1024):

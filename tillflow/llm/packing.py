@@ -37,8 +37,10 @@ def _byte_of_letter() -> dict[str, int]:
 class ByteBpe:
     """Token ids by a byte-level BPE.
 
-    Reads the vocabulary of a ``tokenizers`` JSON file and gives that library's
-    ids, several times as fast. ``<|endoftext|>`` in a text is plain text.
+    Reads a ``tokenizers`` JSON file and gives that library's ids without special
+    tokens being added, several times as fast. An added token such as
+    ``<|endoftext|>`` that stands in a text is that token, as it is there. A file
+    that does anything else to a text is refused.
     """
 
     # How such tokenizers cut texts before merging; a fixed value.
@@ -49,15 +51,33 @@ class ByteBpe:
 
         with open(path, encoding="utf-8") as file:
             known = json.load(file)
-        special, letters = {x["content"] for x in known["added_tokens"]}, _byte_of_letter()
+        self._refuse_others(known)
+        special, letters = {x["content"]: x["id"] for x in known["added_tokens"]}, _byte_of_letter()
         ranks = {
             bytes(letters[c] for c in token): rank
             for token, rank in known["model"]["vocab"].items() if token not in special
         }
-        self._encoding = tiktoken.Encoding("bytes", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._encoding = tiktoken.Encoding("bytes", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+    @staticmethod
+    def _refuse_others(known: dict) -> None:
+        cut, model = known.get("pre_tokenizer") or {}, known["model"]
+        plain = (
+            known.get("normalizer") is None
+            and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+            and model.get("type", "BPE") == "BPE"
+            and not any(model.get(name) for name in (
+                "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"
+            ))
+            and not any(x.get(name) for x in known["added_tokens"] for name in ("single_word", "lstrip", "rstrip"))
+        )
+        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
+        made = [model["vocab"][first + second] for first, second in pairs]
+        if not plain or made != sorted(made):
+            raise ValueError("not a plain byte-level BPE whose ids are in the order of its merges")
 
     def encode(self, text: str) -> list[int]:
-        return self._encoding.encode_ordinary(text)
+        return self._encoding.encode(text, allowed_special="all")
 
 
 def _pieces(tokenizer: str, capacity: int, end_id: int):
@@ -172,22 +192,23 @@ def pack(
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row per piece.
 
-    Pieces of at most ``capacity`` ids are dealt by hash over
-    ``spark.sql.shuffle.partitions`` tasks and sorted there, so a task that is run again
-    packs alike. Each task sorts ``look_ahead`` pieces at a time, longest first, and
+    Pieces of at most ``capacity`` ids are written, dealt by a hash of their place in
+    the files over ``spark.sql.shuffle.partitions`` tasks and sorted there, so equal
+    rows spread and a task that is run again packs alike. Each task sorts ``look_ahead`` pieces at a time, longest first, and
     puts each into the fullest open bin that has room; beyond ``open_bins`` open
     bins the fullest closes. Memory is bounded by these two numbers.
 
-    Null and empty texts make one piece of ``end_id``. Repeated rows are packed
-    as often as they come, in no fixed order among equal ones; rows without an
-    id are packed like others. Other columns aren't read. An empty table gives
+    Null and empty texts make one piece of ``end_id``; a very long text makes as many
+    pieces as it takes, one after the other in memory. Repeated rows are packed as
+    often as they come; pieces of one length go in the order they were dealt. Rows
+    without an id are packed like others. Other columns aren't read. An empty table gives
     an empty result. Sequence numbers are distinct but have gaps.
     """
     pieces = staged(token_pieces(docs, tokenizer, id_col, text_col, capacity, end_id), "pieces")
     parts = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = F.xxhash64("id", "piece", "ids_crc32")
-    dealt = pieces.repartition(parts, order).sortWithinPartitions(order, "id", "piece")
-    packed = dealt.mapInArrow(
+    place = F.xxhash64("_metadata.file_name", "_metadata.row_index").alias("__place")
+    dealt = pieces.select("*", place).repartition(parts, "__place").sortWithinPartitions("__place", "id", "piece")
+    packed = dealt.drop("__place").mapInArrow(
         _packer(capacity, open_bins, look_ahead), f"{_PIECES}, sequence_id long, offset long"
     )
     return packed.withColumnRenamed("id", id_col)
