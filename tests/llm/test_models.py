@@ -1,6 +1,7 @@
 """Packing, url filter, archives, classifier and language identification."""
 
 import gzip
+import json
 import zlib
 
 import numpy as np
@@ -18,11 +19,46 @@ DOCS = "doc_id long, text string"
 # --- packing ----------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("text", ["", " ", "  a", "a  b\n \n c ", "it's I'LL 12é \u3000 a\x85b", "x <|endoftext|> y", "\x1c \x1d a"])
+@pytest.mark.parametrize("text", ["", " ", "  a", "a  b\n \n c ", "it's I'LL 12é \u3000 a\x85b", "x <|endoftext|> y", "<|endoftext|>", " <|endoftext|><|endoftext|> ", "a  <|endoftext|>  b <|endoftext", "\x1c \x1d a"])
 def test_ids_are_those_of_the_tokenizer(text):
     assert [*packing.ByteBpe(packing.tokenizer_path()).encode(text), 2] == [*tokenizer().encode(text, add_special_tokens=False).ids, 2]
 
 
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "use_regex": True}},
+])
+def test_other_tokenizers_are_refused(tmp_path, change):
+    with open(packing.tokenizer_path()) as file:
+        known = json.load(file) | change
+    (tmp_path / "other.json").write_text(json.dumps(known))
+    with pytest.raises(ValueError):
+        packing.ByteBpe(str(tmp_path / "other.json"))
+
+
+def test_merges_in_another_order_are_refused(tmp_path):
+    with open(packing.tokenizer_path()) as file:
+        known = json.load(file)
+    known["model"]["merges"].reverse()
+    (tmp_path / "other.json").write_text(json.dumps(known))
+    with pytest.raises(ValueError):
+        packing.ByteBpe(str(tmp_path / "other.json"))
+
+
+def test_equal_rows_spread_over_the_tasks(spark):
+    frame = spark.range(0, 3000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "same text").otherwise(F.concat(F.lit("text "), "id")).alias("text"),
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        rows = packing.pack(frame, packing.tokenizer_path()).groupBy(F.shiftright("sequence_id", 40)).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(rows) == 8 and max(r["count"] for r in rows) < 2 * 3000 / 8
+
+
 def test_packing_of_all_documents(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     bins, ids = check_packing(docs, QUERIES["op9_packing"](spark, SF).collect())
@@ -211,3 +247,18 @@ def test_filters_that_exclude_each_other_pass_no_record():
     assert reader._passes({"record_type": "revisit"}) and not reader._passes({"record_type": None})
     assert not list(reader.pushFilters([EqualTo(kind, "response"), EqualTo(kind, "revisit")]))
     assert not any(reader._passes({"record_type": x}) for x in ("response", "revisit", None))
+
+
+@pytest.mark.parametrize("text", ["²", "½ ①", "Ⅷ", "12 _-", "\u0301", " \n "])
+def test_no_letter_means_no_language(text):
+    model = language_id.LanguageModel(["en"], np.full((1, 1 << language_id.BUCKET_BITS), 1.0 / (1 << language_id.BUCKET_BITS)))
+    with np.errstate(all="raise"):
+        assert model.predict(text) == ("und", 0.0)
+        assert model.predict(text + "ª")[0] == "en"
+
+
+def test_language_of_a_very_long_text(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.train(docs)
+    text = docs.filter("lang = 'fr' AND n_chars > 500").first().text
+    assert model.predict((text + " ") * (3_000_000 // len(text)))[0] == "fr"
