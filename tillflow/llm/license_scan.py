@@ -1,14 +1,17 @@
-"""License scans: which known notices a document contains.
+"""License scans: which known licence texts, headers and notices a document contains.
 
-Notices are partitioned by their number of shingles; for those of up to 2^c, a
+Words are runs of letters and digits, so line breaks, comment signs, quotes and full
+stops don't matter. Templates, here called notices, are partitioned by their number of shingles; for those of up to 2^c, a
 text is cut into windows of 2^(c+1) shingles that overlap by half, so that a
 notice, wherever it stands, lies within one window. Each window has BANDS
 MinHash bands of one value. A notice of m shingles of which SHARE are present
 and its window have a similarity of at least 0.8 m / (4 m + 0.2 m) = 0.19, so one
 of 96 bands collides with probability 1 - 0.81 ** 96 = 1 - 2e-9. Exact containment
-of the notice's shingles in the document then decides.
+of the notice's shingles in the document then decides. Windows that hold no shingle of
+any notice are not signed: none of their bands could lead to a match.
 """
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import common
 from tillflow.llm.common import staged
+from tillflow.llm.license_texts import named_templates
 
 WIDTH = 5
 SHARE_PERCENT = 80
@@ -26,20 +30,21 @@ SEED = 12
 # Bits of the filter that says which shingles may belong to a notice: 1 MB, whatever the number of notices.
 FILTER_BITS = 23
 
-# Short notices as they stand in texts.
-NOTICES = (
-    ("MIT", "Released under the MIT License."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-)
+# Beside ASCII punctuation: U+0080 to U+00BF and U+2000 to U+206F, as UTF-8.
+_MARKS = re.compile(rb"\xc2[\x80-\xbf]|\xe2\x80[\x80-\xbf]|\xe2\x81[\x80-\xaf]")
+_PLAIN = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 
 
 def notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(NOTICES), "license string, text string")
+    """The known licences: whole texts, file headers and sentences."""
+    return spark.createDataFrame(named_templates(), "license string, text string")
+
+
+def license_words(text: bytes | None) -> np.ndarray:
+    """Hashes of the runs of letters and digits of a UTF-8 text, in order; punctuation counts as a blank."""
+    if not text:
+        return common.hashed_words(None)
+    return common.hashed_words((text if text.isascii() else _MARKS.sub(b" ", text)).translate(_PLAIN))
 
 
 def _size_class(count: int) -> int:
@@ -64,7 +69,7 @@ def _scan(width: int, bits: bytes, levels: tuple[int, ...]):
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = common.shingles(common.hashed_words(text.as_py()), width, short=False)
+                found = common.shingles(license_words(text.as_py()), width, short=False)
                 slot = found >> np.uint64(64 - FILTER_BITS)
                 near = np.flatnonzero(allowed[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
                 if not len(near):
@@ -91,7 +96,7 @@ def _prepared(width: int):
         for batch in batches:
             names, sizes, levels, bands, all_found = [], [], [], [], []
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = np.unique(common.shingles(common.hashed_words(text.as_py()), width, short=False))
+                found = np.unique(common.shingles(license_words(text.as_py()), width, short=False))
                 if len(found):
                     names.append(name)
                     sizes.append(len(found))

@@ -1,6 +1,6 @@
 """SQL twins of the queries that SQL can express; the others are tested against brute force."""
 
-from tillflow.llm.license_scan import NOTICES
+from tillflow.llm.license_texts import named_templates
 
 SQL: dict[str, str] = {}
 
@@ -36,13 +36,14 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_
 FROM marked GROUP BY doc_id
 """
 
-_NOTICES = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in pair)) for pair in NOTICES)
+_NOTICES = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in pair)) for pair in named_templates())
+_PLAIN_WORD = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x{BF}\x{2000}-\x{206F}]+'"
 SQL["op2_license_scan"] = f"""
 WITH notices(license, text) AS (VALUES {_NOTICES}),
-notice_words AS (SELECT license, regexp_extract_all({_lower("text")}, {_WORD}) AS words FROM notices),
+notice_words AS (SELECT license, regexp_extract_all({_lower("text")}, {_PLAIN_WORD}) AS words FROM notices),
 parts AS (SELECT DISTINCT license, win FROM ({_windows("notice_words", "license", 5)})),
 sizes AS (SELECT license, count(*) AS n_shingles FROM parts GROUP BY license),
-doc_words AS (SELECT doc_id, regexp_extract_all({_lower("text")}, {_WORD}) AS words FROM documents WHERE text IS NOT NULL),
+doc_words AS (SELECT doc_id, regexp_extract_all({_lower("text")}, {_PLAIN_WORD}) AS words FROM documents WHERE text IS NOT NULL),
 runs AS ({_windows("doc_words", "doc_id", 5)}),
 shared AS (
     SELECT r.doc_id, p.license, count(DISTINCT r.win) AS n_shared, min(r.pos) - 1 AS first_word
