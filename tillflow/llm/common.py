@@ -19,19 +19,24 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # --- tables in the shared folder ------------------------------------------------------
 
 
+# Folders made where none is named, by application.
+_made: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Where it is unset, one is made, on a single machine only.
+    Where it is unset, one is made for the application, on a single machine only.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = "file://" + tempfile.mkdtemp(prefix="tillflow-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    name = spark.sparkContext.applicationId
+    if name not in _made:
+        _made[name] = "file://" + tempfile.mkdtemp(prefix="tillflow-llm-")
+    return _made[name]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
