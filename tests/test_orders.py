@@ -61,6 +61,8 @@ def test_first_latest_and_distinct(rows):
     assert as_set(keyed.first_by_key(frame, ["k"], ["v"])) == {(1, 1, "a"), (2, 5, "c"), (None, 1, "n")}
     assert as_set(keyed.latest_by_key(frame, ["k"], ["v"])) == {(1, 2, None), (2, 5, "c"), (None, 1, "n")}
     assert keyed.distinct_by_id(frame, ["k"]).count() == 3
+    lost = rows("k int, j int, x string", (1, None, "a"), (1, None, "a"), (None, 2, "b"), (None, 2, "c"), (3, 4, "d"), (3, 4, "e"))
+    assert keyed.distinct_by_id(lost, ["k", "j"]).count() == 5 and keyed.distinct_by_id(lost, ["k"]).count() == 4
 
 
 LOG = "common struct<mid:string,uid:string,ar:string,ch:string,vc:string>, start string, ts bigint"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillflow.functions.records import parse_records
 from tillflow.schemas import ORDER_INFO
 from tillflow.operators import allocation, marts, orders, visits, wide
+from tillflow.operators.routing import route_canal, route_maxwell
 from tillflow.plans import adapters as a
 from tillflow.plans.catalog import QUERIES
 
@@ -105,3 +106,5 @@ def test_one_parse_per_message(rows):
     messages = rows("value string", ("{}",))
     needs = {"id": "bigint", "create_time": "timestamp"}
     assert plan(parse_records(messages, ORDER_INFO, required=needs)).count("from_json") == 1
+    for route in (route_canal, route_maxwell):
+        assert plan(route(messages)).count("from_json") == 1

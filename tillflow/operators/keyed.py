@@ -1,5 +1,8 @@
 """One row per key: first, latest, and plain distinct by id."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +30,8 @@ def distinct_by_id(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row per id, for messages that were sent more than once.
 
     Which copy is kept does not depend on the partitioning: the least by all
-    columns.
+    columns. Rows that lack an id are nobody's copies: all of them stay.
     """
     others = [c for c in rows.columns if c not in keys]
-    return first_by_key(rows, keys, others or keys)
+    named = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    return first_by_key(rows.filter(named), keys, others or keys).unionByName(rows.filter(~named))

@@ -36,16 +36,15 @@ def route_canal(messages: DataFrame) -> DataFrame:
     """One message per element of ``data[]``; the change type is not looked at.
 
     A message without ``data`` gives no row. ``at`` is the time of the change.
+    As in ``route_maxwell``, ``inline`` makes columns of the parsed message, so
+    that what follows does not parse it again.
     """
     change = F.from_json(F.col("value"), "`table` string, data array<string>, es bigint")
-    return (
-        messages.select(*_places(messages), change.alias("change"))
-        .select(
-            ods_topic(F.col("change.table")).alias("topic"),
-            F.explode("change.data").alias("value"),
-            F.coalesce("change.es", "at").alias("at"),
-            "position",
-        )
+    return messages.select(*_places(messages), F.inline(F.array(change))).select(
+        ods_topic(F.col("table")).alias("topic"),
+        F.explode("data").alias("value"),
+        F.coalesce("es", "at").alias("at"),
+        "position",
     )
 
 

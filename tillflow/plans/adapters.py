@@ -115,6 +115,11 @@ def order_detail(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def with_sku_name(details: DataFrame) -> DataFrame:
+    """Order lines with the name a line carries of its own."""
+    return details.withColumn("sku_name", F.concat(F.lit("sku "), F.col("sku_id")))
+
+
 # --- dimensions -------------------------------------------------------------------
 
 

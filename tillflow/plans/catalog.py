@@ -260,11 +260,8 @@ def detail_enriched(spark, sf_dir):
 @query
 def order_wide(spark, sf_dir):
     flagged = _enriched_orders(spark, sf_dir, orders.flag_first_orders(_orders(spark, sf_dir)))
-    named = orders.add_sku(
-        _details(spark, sf_dir),
-        _skus(spark, sf_dir),
-    )
-    return wide.join_lines(flagged, named).drop("sku_name")
+    named = orders.add_sku(a.with_sku_name(_details(spark, sf_dir)), _skus(spark, sf_dir))
+    return wide.join_lines(flagged, named)
 
 
 def _dated(spark, sf_dir):
@@ -300,12 +297,9 @@ def order_wide_sliding(spark, sf_dir):
 @query
 def sale_full_outer(spark, sf_dir):
     o = _orders(spark, sf_dir).withColumn("at", F.to_timestamp("create_time"))
-    l = _details(spark, sf_dir).withColumn("at", F.to_timestamp("create_time"))
+    l = a.with_sku_name(_details(spark, sf_dir)).withColumn("at", F.to_timestamp("create_time"))
     near = wide.seconds_apart("at", "at", INTERVAL_DAYS * _DAY)
-    return wide.join_sales(o, l, near).select(
-        "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id",
-        "user_age", "sku_price", "dt",
-    )
+    return wide.join_sales(o, l, near)
 
 
 @query

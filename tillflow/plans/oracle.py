@@ -198,7 +198,7 @@ SQL: dict[str, str] = {
         FROM l LEFT JOIN skus ON p_partkey = sku_id""",
     "order_wide": _with("o", "l", "users", "skus", "flags") + """
         SELECT l.id AS order_detail_id, order_id, order_status, create_time, o.user_id, sku_id,
-               order_price AS sku_price, sku_num, benefit_reduce_amount, original_total_amount,
+               order_price AS sku_price, sku_num, 'sku ' || sku_id AS sku_name, benefit_reduce_amount, original_total_amount,
                feight_fee, final_total_amount, 0.0::DOUBLE AS final_detail_amount, if_first_order,
                n_name AS province_name, CAST(n_regionkey AS VARCHAR) AS province_area_code,
                age_group AS user_age_group, gender_name AS user_gender, dt,
@@ -227,7 +227,8 @@ SQL: dict[str, str] = {
     "sale_full_outer": _with("o", "l") + f"""
         SELECT l.id AS order_detail_id, CAST(o.id AS VARCHAR) AS order_id, order_status, create_time,
                CAST(user_id AS VARCHAR) AS user_id, CAST(sku_id AS VARCHAR) AS sku_id,
-               CAST(0 AS INTEGER) AS user_age, order_price AS sku_price, dt
+               CAST(NULL AS VARCHAR) AS user_gender, CAST(0 AS INTEGER) AS user_age, CAST(NULL AS VARCHAR) AS user_level,
+               order_price AS sku_price, 'sku ' || sku_id AS sku_name, dt
         FROM l FULL JOIN o ON l.order_id = o.id AND {_SALE_NEAR}""",
     "order_split_amount": _with("o", "l", "split") + """
         SELECT order_id, id AS order_detail_id, CAST(cents AS DOUBLE) / 100.0 AS final_detail_amount
@@ -277,6 +278,14 @@ SQL: dict[str, str] = {
           AND list_contains(string_split(lower(text), ' '), '{WORD_TWO}') AND {_word(WORD_TEXT)}""",
 }
 
+# Columns of the wide record that come from dimensions.
+_UNSET = {
+    "VARCHAR": (
+        "if_first_order province_name province_area_code user_age_group user_gender spu_name tm_name category3_name"
+    ).split(),
+    "BIGINT": "spu_id tm_id category3_id".split(),
+}
+
 # --- streaming twins --------------------------------------------------------------
 
 SQL |= {
@@ -285,7 +294,10 @@ SQL |= {
     "order_first_flag_stream": SQL["order_first_flag_state"],
     "order_first_flag_batch_stream": SQL["order_first_flag_state"],
     "order_wide_stream": _with("o", "l") + f"""
-        SELECT order_id, l.id AS order_detail_id, sku_id, create_time
+        SELECT l.id AS order_detail_id, order_id, order_status, create_time, o.user_id, sku_id,
+               order_price AS sku_price, sku_num, 'sku ' || sku_id AS sku_name, benefit_reduce_amount, original_total_amount,
+               feight_fee, final_total_amount, 0.0::DOUBLE AS final_detail_amount, dt,
+               {", ".join(f"CAST(NULL AS {kind}) AS {name}" for kind, names in _UNSET.items() for name in names)}
         FROM l JOIN o ON l.order_id = o.id AND {_SALE_NEAR}""",
     "sale_interval_stream": _with("o", "l") + f"""
         SELECT CAST(order_id AS VARCHAR) AS order_id, l.id AS order_detail_id,

@@ -193,11 +193,11 @@ def _sides(spark, sf_dir):
 
 @query
 def order_wide_stream(spark, sf_dir):
+    o, l = _sides(spark, sf_dir)
     joined = join_lines_stream(
-        *_sides(spark, sf_dir), bound=INTERVAL_DAYS * _DAY, delay=NEVER_LATE, salts=STREAM_SALTS
+        o, a.with_sku_name(l), bound=INTERVAL_DAYS * _DAY, delay=NEVER_LATE, salts=STREAM_SALTS
     )
-    rows = joined.select("order_id", "order_detail_id", "sku_id", "create_time")
-    return run_to_table(rows, "order_wide")
+    return run_to_table(joined, "order_wide")
 
 
 @query
@@ -292,17 +292,17 @@ def sale_full_outer_stream(spark, sf_dir):
     one feed before the other, and the closing records let out the rest.
     """
     o = orders.add_order_dates(a.order_info(a.table(spark, sf_dir, "orders")))
-    l = a.order_detail(a.table(spark, sf_dir, "lineitem"))
+    l = a.with_sku_name(a.order_detail(a.table(spark, sf_dir, "lineitem")))
     turns = _Turns(spark, "sale_full_outer")
 
     def run():
         joined = join_sales_stream(
             turns.stream("ORDERS", o.schema), turns.stream("LINES", l.schema), bound=INTERVAL_DAYS * _DAY
         )
-        return turns.run(joined.select(*_SALE))
+        return turns.run(joined)
 
     timed = [rows.withColumn("_at", F.to_timestamp("create_time")) for rows in (o, l)]
-    for order_part, line_part in zip(*[_parts(rows, "_at") for rows in timed], strict=True):
+    for order_part, line_part in zip(*[_parts(rows, "_at", 2) for rows in timed], strict=True):
         turns.commit("ORDERS", order_part.drop("_at"), "id")
         turns.commit("LINES", line_part.drop("_at"), "order_id")
         run()
@@ -312,11 +312,6 @@ def sale_full_outer_stream(spark, sf_dir):
     )
 
 
-_SALE = (
-    "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id", "user_age", "sku_price", "dt",
-)
-
-
 @query
 def trademark_stat_stream(spark, sf_dir):
     """Report rows per batch; a batch that is run again upstream changes none.
