@@ -192,12 +192,13 @@ def start_dimension(
     def write(batch: DataFrame, batch_id: int) -> None:
         house.keep_rejects(batch, batch_id, name, schema, required)
         rows = parse_records(batch, schema, required=required, keep=keep)
-        for missing in set(VERSION) - set(keep):
-            rows = rows.withColumn(missing, F.lit(None).cast("bigint"))
-        rows = rows.withColumn(_WRITTEN, F.lit(time.time_ns()))
+        rows = (prepare(rows) if prepare else rows).withColumn(_WRITTEN, F.lit(time.time_ns()))
         state, run = house.dimension_state(name), house.run(name)
+        for field in state.schema.fields:
+            if field.name not in rows.columns:
+                rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
         state.compact(batch.sparkSession, run, batch_id)
-        state.add(state.merge(prepare(rows) if prepare else rows), run, batch_id)
+        state.add(state.merge(rows.select(*state.schema.names)), run, batch_id)
 
     return start_batches(messages, write, house.checkpoint(name), every)
 
