@@ -75,3 +75,17 @@ def test_ids_are_kept_for_good_on_demand(spark, rows, tmp_path):
     assert sorted(go((1, "2023-01-01 00:00:00"), (7, 1, "2023-01-01 00:00:00"))) == [7, 8]
 
 
+def test_the_chain_holds_what_the_shares_need(spark, tables):
+    assert set(streams._joined_with_totals(spark, tables).columns) == {
+        "order_id", "order_detail_id", "sku_price", "sku_num",
+        "final_total_amount", "original_total_amount", "final_detail_amount",
+    }
+
+
+@pytest.mark.parametrize("name", ["order_split_amount_batch_stream"])
+def test_the_chain_still_shares_all(spark, tables, name):
+    """The stored total counts the line that comes twice: 20 of 60 for each of the two that are left."""
+    shares = QUERIES[name](spark, tables).collect()
+    assert len(shares) == 2 * DAYS and {r.final_detail_amount for r in shares} == {16.67}
+
+

@@ -313,12 +313,15 @@ def _joined_with_totals(spark, sf_dir):
     files = spark.readStream.schema(schema).option("maxFilesPerTrigger", a.FILES_PER_BATCH)
     stream = orders.add_order_dates(files.parquet(written))
     lines = a.order_detail(a.table_stream(spark, sf_dir, "lineitem"))
-    return join_lines_stream(
-        stream, lines, bound=CHAIN_DAYS * _DAY, delay=NEVER_LATE, salts=STREAM_SALTS
+    joined = join_lines_stream(
+        stream, lines, bound=CHAIN_DAYS * _DAY, delay=NEVER_LATE, salts=STREAM_SALTS, forget=False
     )
+    return joined.select(*_SPLIT, *_SPLIT_BY)
 
 
 _SPLIT = ("order_id", "order_detail_id", "final_detail_amount")
+# What the shares depend on besides. The state of both feeds holds no other columns.
+_SPLIT_BY = ("sku_price", "sku_num", "final_total_amount", "original_total_amount")
 
 
 @query
@@ -342,7 +345,7 @@ def order_split_amount_batch_stream(spark, sf_dir):
         finally:
             batch.unpersist()
 
-    start_batches(joined, write, f"{folder}/checkpoint").awaitTermination()
+    start_batches(joined, write, f"{folder}/checkpoint", trailing=False).awaitTermination()
     return spark.read.schema(joined.schema).parquet(f"{folder}/rows").select(*_SPLIT)
 
 
