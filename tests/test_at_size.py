@@ -82,7 +82,7 @@ def test_the_chain_holds_what_the_shares_need(spark, tables):
     }
 
 
-@pytest.mark.parametrize("name", ["order_split_amount_batch_stream"])
+@pytest.mark.parametrize("name", ["order_split_amount_stream", "order_split_amount_batch_stream"])
 def test_the_chain_still_shares_all(spark, tables, name):
     """The stored total counts the line that comes twice: 20 of 60 for each of the two that are left."""
     shares = QUERIES[name](spark, tables).collect()

@@ -328,7 +328,7 @@ _SPLIT_BY = ("sku_price", "sku_num", "final_total_amount", "original_total_amoun
 def order_split_amount_stream(spark, sf_dir):
     """The whole chain with the sums per order in the state store."""
     paid = allocate_stream(_joined_with_totals(spark, sf_dir))
-    return run_to_table(paid, "split_amount").select(*_SPLIT)
+    return run_to_table(paid, "split_amount", trailing=False).select(*_SPLIT)
 
 
 @query
