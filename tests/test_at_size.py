@@ -57,6 +57,13 @@ def test_joined_feeds_do_not_stay_in_the_state(spark, tables, started, name):
     assert len(started) == 1 and _removed(started[0]) > DAYS
 
 
+def test_full_outer_runs_through_in_parts(spark, tables, started):
+    found = as_set(QUERIES["sale_full_outer_stream"](spark, tables), "order_id", "order_detail_id")
+    assert sum(order is None for order, _ in found) == DAYS and sum(line is None for _, line in found) == 0
+    assert len(found) == 2 * DAYS
+    assert len(started) == 1 and len({at["batchId"] for at in started[0].recentProgress if at["numInputRows"]}) > 4
+
+
 def test_ids_are_kept_for_good_on_demand(spark, rows, tmp_path):
     from tillflow.streaming.run import start_append
     from tillflow.streaming.wide import join_lines_stream

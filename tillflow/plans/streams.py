@@ -376,28 +376,24 @@ def trademark_window_stream(spark, sf_dir):
 def sale_full_outer_stream(spark, sf_dir):
     """Pairs, and rows of either side that met none, which come out when their time is over.
 
-    Both feeds come in parts by time. The delay covers what one run can read of
-    one feed before the other, and the closing records let out the rest.
+    Both feeds come in parts by time, both parts in one commit, to one stream that runs
+    through. The closing records let out the rest.
     """
     o = orders.add_order_dates(a.order_info(a.table(spark, sf_dir, "orders")))
     l = a.with_sku_name(a.order_detail(a.table(spark, sf_dir, "lineitem")))
-    turns = _Turns(spark, "sale_full_outer")
-
-    def run():
-        joined = join_sales_stream(
-            turns.stream("ORDERS", o.schema), turns.stream("LINES", l.schema), bound=INTERVAL_DAYS * _DAY
-        )
-        return turns.run(joined)
-
-    timed = [rows.withColumn("_at", F.to_timestamp("create_time")) for rows in (o, l)]
-    for order_part, line_part in zip(*[_parts(rows, "_at", 2) for rows in timed], strict=True):
-        turns.commit("ORDERS", order_part.drop("_at"), "id")
-        turns.commit("LINES", line_part.drop("_at"), "order_id")
-        run()
-    end = END_OF_INPUT.strftime("%Y-%m-%d %H:%M:%S")
-    return turns.close(
-        run, ("ORDERS", _end(spark, o.schema, create_time=end), "id"), ("LINES", _end(spark, l.schema, create_time=end), "order_id")
+    turns, feeds = _Turns(spark, "sale_full_outer"), {"ORDERS": (o, "id"), "LINES": (l, "order_id")}
+    timed = [rows.withColumn(_AT, F.unix_micros(F.to_timestamp("create_time"))) for rows, _ in feeds.values()]
+    cuts, _ = _cuts(timed, _AT, TURNS)
+    joined = join_sales_stream(
+        turns.stream("ORDERS", o.schema), turns.stream("LINES", l.schema), bound=INTERVAL_DAYS * _DAY
     )
+    end = END_OF_INPUT.strftime("%Y-%m-%d %H:%M:%S")
+    ends = [_end(spark, rows.schema, create_time=end) for rows, _ in feeds.values()]
+    with turns.running(joined) as query:
+        for parts in [*zip(*[_between(rows, _AT, cuts) for rows in timed], strict=True), ends]:
+            turns.commit_all([(topic, part.drop(_AT), key) for (topic, (_, key)), part in zip(feeds.items(), parts, strict=True)])
+            query.processAllAvailable()
+    return turns.rows(joined)
 
 
 @query
