@@ -50,7 +50,7 @@ def _removed(query):
     return sum(state["numRowsRemoved"] for at in query.recentProgress for state in at["stateOperators"])
 
 
-@pytest.mark.parametrize("name", ["order_wide_stream"])
+@pytest.mark.parametrize("name", ["order_wide_stream", "sale_interval_stream"])
 def test_joined_feeds_do_not_stay_in_the_state(spark, tables, started, name):
     found = as_set(QUERIES[name](spark, tables), "order_id", "order_detail_id")
     assert {int(order) for order, _ in found} == set(range(DAYS)) and len(found) == DAYS
