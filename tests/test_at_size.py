@@ -96,3 +96,15 @@ def test_the_chain_still_shares_all(spark, tables, name):
     assert len(shares) == 2 * DAYS and {r.final_detail_amount for r in shares} == {16.67}
 
 
+def test_a_topic_file_has_few_row_groups(tmp_path):
+    log = TopicLog(str(tmp_path))
+    batch = pa.RecordBatch.from_pydict(
+        {"topic": ["T"] * 3, "key": [None, "k", None], "value": ["a", "b", None], "at": [1, 2, 3]},
+        schema=pa.schema([("topic", pa.string()), ("key", pa.string()), ("value", pa.string()), ("at", pa.int64())]),
+    )
+    files = log.write(iter([batch] * 50), 1)
+    assert [(f.topic, f.partition, f.rows) for f in files] == [("T", 0, 150)]
+    held = pq.ParquetFile(f"{tmp_path}/{files[0].path}")
+    assert held.num_row_groups == 1 and held.read()["value"].to_pylist() == ["a", "b", None] * 50
+
+

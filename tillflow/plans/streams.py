@@ -402,6 +402,7 @@ def trademark_stat_stream(spark, sf_dir):
     names = a.trademarks(part).select(F.col("id").cast("bigint").alias("tm_id"), "tm_name")
     lines = _paid(spark, sf_dir).select("order_id", "order_detail_id", "sku_id", "final_detail_amount")
     lines = lines.join(brands, "sku_id", "left").join(names, "tm_id", "left").drop("sku_id", "order_detail_id")
+    lines = written(lines, "paid_lines")  # each commit reads them
     house = jobs.Warehouse(new_folder(spark, "trademark_stat"))
     messages = with_key(to_messages(lines, fv.TOPIC_ORDER_WIDE))
     halves = [with_key(to_messages(lines.filter(F.col("order_id") % 2 == i), fv.TOPIC_ORDER_WIDE)) for i in (0, 1)]

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
@@ -42,6 +43,21 @@ _ROWS = pa.schema([*_FILE, ("position", pa.int64()), ("partition", pa.int32())])
 _BEFORE_ALL = {"ends": {}, "runs": {}, "files": []}
 
 
+# Messages of a file that are written at once.
+_GROUP_BYTES = 4 << 20
+
+
+def _places(rows: pa.Table, partitions: int) -> Iterator[tuple[tuple[str, int], pa.Array]]:
+    """(topic, partition) with the rows that go there; a message without a key is dealt by its value."""
+    texts = pc.fill_null(pc.coalesce(rows["key"], rows["value"]).cast(pa.binary()), b"")
+    crc = [zlib.crc32(text) % partitions for text in texts.to_pylist()]
+    dealt = pa.table({"topic": rows["topic"], "partition": pa.array(crc, pa.int32()), "row": pa.array(range(len(crc)), pa.int64())})
+    for topic in pc.unique(dealt["topic"]).to_pylist():
+        own = dealt.filter(pc.is_null(dealt["topic"]) if topic is None else pc.equal(dealt["topic"], topic))
+        for partition in sorted(pc.unique(own["partition"]).to_pylist()):
+            yield (topic, partition), own.filter(pc.equal(own["partition"], partition))["row"].combine_chunks()
+
+
 # --- the log --------------------------------------------------------------------------
 
 
@@ -132,23 +148,26 @@ class TopicLog:
     def write(self, batches: Iterator[pa.RecordBatch], partitions: int) -> list[MessageFile]:
         """Writes a task's messages, a file for each topic and partition, and names them."""
         open_files: dict[tuple[str, int], tuple[MessageFile, pq.ParquetWriter]] = {}
+        waiting: dict[tuple[str, int], list[pa.Table]] = {}
         try:
             for batch in batches:
                 rows = pa.Table.from_batches([batch])
                 named = rows.select(["key", "value", "at"]).cast(_FILE)
-                keys = [k if k is not None else v for k, v in zip(rows["key"].to_pylist(), rows["value"].to_pylist(), strict=True)]
-                places: dict[tuple[str, int], list[int]] = {}
-                for i, (topic, key) in enumerate(zip(rows["topic"].to_pylist(), keys, strict=True)):
-                    places.setdefault((topic, zlib.crc32((key or "").encode()) % partitions), []).append(i)
-                for place, own in places.items():
+                for place, own in _places(rows, partitions):
                     if place not in open_files:
                         path = f"data/{uuid.uuid4().hex}.parquet"
                         self._folder.store.create_dir(self._folder.at("data"), recursive=True)
-                        writer = pq.ParquetWriter(self._folder.at(path), _FILE, filesystem=self._folder.store)
+                        writer = pq.ParquetWriter(
+                            self._folder.at(path), _FILE, compression="zstd", filesystem=self._folder.store
+                        )
                         open_files[place] = (MessageFile(*place, path, 0), writer)
                     file, writer = open_files[place]
-                    writer.write_table(named.take(pa.array(own)))
+                    waiting.setdefault(place, []).append(named.take(own))
                     file.rows += len(own)
+                    if sum(t.nbytes for t in waiting[place]) >= _GROUP_BYTES:
+                        writer.write_table(pa.concat_tables(waiting.pop(place)))
+            for place, tables in waiting.items():
+                open_files[place][1].write_table(pa.concat_tables(tables))
         finally:
             for _, writer in open_files.values():
                 writer.close()
