@@ -108,3 +108,19 @@ def test_a_topic_file_has_few_row_groups(tmp_path):
     assert held.num_row_groups == 1 and held.read()["value"].to_pylist() == ["a", "b", None] * 50
 
 
+def test_lines_meet_their_sku_before_texts_are_made(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    wide = QUERIES["order_wide"](spark, "/root/testdata/sf0.001")
+    plan = wide._jdf.queryExecution().sparkPlan().treeString().split("\n")
+    joins = [i for i, text in enumerate(plan) if "Join [sku_id" in text]
+    assert len(joins) == 1
+
+    def depth(text):
+        return len(text) - len(text.lstrip(" :+-|"))
+
+    below = []
+    for text in plan[joins[0] + 1:]:
+        if depth(text) <= depth(plan[joins[0]]):
+            break
+        below.append(text)
+    assert below and not any("concat_ws" in text for text in below)

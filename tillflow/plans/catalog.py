@@ -260,8 +260,12 @@ def detail_enriched(spark, sf_dir):
 @query
 def order_wide(spark, sf_dir):
     flagged = _enriched_orders(spark, sf_dir, orders.flag_first_orders(_orders(spark, sf_dir)))
-    named = orders.add_sku(a.with_sku_name(_details(spark, sf_dir)), _skus(spark, sf_dir))
-    return wide.join_lines(flagged, named)
+    # The lines meet their SKU as they are in the table: ids and names, which are texts made
+    # of those numbers, come after that shuffle.
+    skus, lines = _skus(spark, sf_dir), a.table(spark, sf_dir, "lineitem").withColumn("sku_id", F.col("l_partkey"))
+    found = orders.add_sku(lines, skus)
+    added = tuple(c for c in found.columns if c not in lines.columns)
+    return wide.join_lines(flagged, a.with_sku_name(a.order_detail(found, keep=added)))
 
 
 def _dated(spark, sf_dir):
