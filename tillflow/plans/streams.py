@@ -279,15 +279,20 @@ def order_wide_stream(spark, sf_dir):
     return _in_turns(spark, sf_dir, "order_wide", join)
 
 
+def _sides(spark, sf_dir):
+    o = orders.add_order_dates(a.order_info(a.table_stream(spark, sf_dir, "orders")))
+    l = a.order_detail(a.table_stream(spark, sf_dir, "lineitem"))
+    return o, l
+
+
 @query
 def sale_interval_stream(spark, sf_dir):
-    def join(o, l, delay):
-        joined = join_sales_stream(
-            o, l, bound=INTERVAL_DAYS * _DAY, delay=delay, how="inner", salts=STREAM_SALTS, forget=False
-        )
-        return joined.select("order_id", "order_detail_id", "user_id", "sku_price", "dt")
-
-    return _in_turns(spark, sf_dir, "sale", join)
+    joined = join_sales_stream(
+        *_sides(spark, sf_dir), bound=INTERVAL_DAYS * _DAY, delay=NEVER_LATE, how="inner",
+        salts=STREAM_SALTS, forget=False,
+    )
+    rows = joined.select("order_id", "order_detail_id", "user_id", "sku_price", "dt")
+    return run_to_table(rows, "sale", trailing=False)
 
 
 def _joined_with_totals(spark, sf_dir):
