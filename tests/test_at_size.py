@@ -132,3 +132,40 @@ def test_lines_meet_their_sku_before_texts_are_made(spark, settings):
             break
         below.append(text)
     assert below and not any("concat_ws" in text for text in below)
+
+
+@pytest.mark.parametrize("forget", [False, True])
+def test_joined_with_state_in_tables(spark, rows, tmp_path, forget):
+    """Pairs across batches once, copies and late rows left out, a batch that runs again replaces itself."""
+    from tillflow.streaming.wide import JoinTables, join_lines_stream
+
+    o, l = "id long, create_time string", "id string, order_id long, create_time string"
+
+    def go(number, orders, lines):
+        for _ in range(1 + (number == 2)):
+            joined = join_lines_stream(
+                rows(o, *orders), rows(l, *lines), bound=60, delay="1 hour", forget=forget, salts=3,
+                tables=JoinTables(f"{tmp_path}/state", number, tail_batches=4),
+            )
+            found = sorted((r.order_id, r.order_detail_id) for r in joined.collect())
+        return found
+
+    day = "2021-01-01 "
+    assert go(0, [(1, day + "00:00:00"), (2, day + "00:00:00"), (3, None)], [("a", 1, day + "00:01:00"), ("a", 1, day + "00:01:00"), ("b", 1, day + "00:01:01")]) == [(1, "a")]
+    assert go(1, [(1, day + "00:00:01"), (4, day + "00:00:30")], [("a", 1, day + "00:00:00"), ("c", 2, day + "00:00:10"), ("d", None, day + "00:00:10")]) == [(2, "c")]
+    assert go(2, [(5, day + "00:02:00")], [("e", 4, day + "00:00:40"), ("f", 5, day + "00:02:00")]) == [(4, "e"), (5, "f")]
+    assert go(3, [(6, day + "12:00:00")], [("g", 6, day + "12:00:00")]) == [(6, "g")]
+    assert go(4, [(7, day + "10:59:59")], [("h", 7, day + "11:00:00"), ("i", 6, day + "11:59:59")]) == [(6, "i")]
+    assert go(5, [], []) == []  # the tables are folded: what can't be met is cut to its id, or dropped
+    held = spark.read.parquet(*[str(p) for p in (tmp_path / "state/lines").glob("snapshot-*")])
+    assert held.filter("create_time is not null").count() == 2
+    assert held.count() == (2 if forget else 8)
+
+
+def test_the_chain_leaves_no_rows_of_both_feeds_in_the_state_store(spark, tables, monkeypatch):
+    from tillflow.streaming import run
+
+    queries, start = [], run.start_append
+    monkeypatch.setattr(run, "start_append", lambda *args, **named: queries.append(start(*args, **named)) or queries[-1])
+    assert QUERIES["order_split_amount_stream"](spark, tables).count() == 2 * DAYS
+    assert {state["operatorName"] for at in queries[0].recentProgress for state in at["stateOperators"]} == {"transformWithStateInPySparkExec"}
