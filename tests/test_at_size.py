@@ -134,6 +134,47 @@ def test_lines_meet_their_sku_before_texts_are_made(spark, settings):
     assert below and not any("concat_ws" in text for text in below)
 
 
+class _Handle:
+    """Counts the calls to a bucket's state."""
+
+    def __init__(self):
+        self.entries, self.calls = [], 0
+
+    def getListState(self, name, schema, ttl_ms):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return iter(list(self.entries))
+
+    def appendList(self, entries):
+        self.calls += 1
+        self.entries += entries
+
+    def put(self, entries):
+        self.calls += 1
+        self.entries = entries
+
+
+def test_orders_meet_the_state_in_buckets(spark):
+    """Sums of many orders are one entry a batch, and few calls; what is replaced does not pile up."""
+    from pyspark.sql import Row
+
+    from tillflow.streaming.allocation import _Allocation
+
+    processor, handle = _Allocation("bigint", None), _Handle()
+    processor.init(handle)
+    for number in range(4):
+        lines = (
+            Row(order_id=order, order_detail_id=number, sku_price=10.0, sku_num=1, final_total_amount=10.0,
+                original_total_amount=40.0, final_detail_amount=0.0, _bucket=7)
+            for order in range(100)
+        )
+        shares = [r.final_detail_amount for r in processor.handleInputRows((7,), lines, None)]
+        assert shares == [2.5] * 100
+    assert handle.calls == 8 and sum(len(orders) for orders, _, _ in handle.entries) <= 200
+
+
 @pytest.mark.parametrize("forget", [False, True])
 def test_joined_with_state_in_tables(spark, rows, tmp_path, forget):
     """Pairs across batches once, copies and late rows left out, a batch that runs again replaces itself."""

@@ -15,6 +15,9 @@ from tillflow.sources.state import ONLY_RUN, KeyedState
 
 _SHARE = "final_detail_amount"
 _SUMS = ("origin", "split", "lines")
+_BUCKET = "_bucket"
+# Groups of orders in the state store. Each costs some calls to Python per micro-batch.
+ORDER_BUCKETS = 8192
 _STATE = StructType([StructField(c, LongType()) for c in ("order_id", *_SUMS)])
 
 
@@ -32,33 +35,60 @@ def _in_line_order(rows: Iterator[Row]) -> list[Row]:
     return sorted(rows, key=place)
 
 
+def _entry(sums: dict) -> tuple[list, list, list]:
+    return list(sums), [origin for origin, _ in sums.values()], [split for _, split in sums.values()]
+
+
 class _Allocation(StatefulProcessor):
-    """Per order two running sums in cents: line amounts and shares given out."""
+    """Per order two running sums in cents: line amounts and shares given out.
+
+    A key is a bucket of orders, and its state a list of entries, one for each micro-batch, with
+    the orders of the batch and their sums; of an order the last ones count. So the calls to the
+    state and the batches of rows that come back are as many as there are buckets, not orders.
+    """
 
-    def __init__(self, ttl_ms: int | None):
-        self._ttl_ms = ttl_ms
+    def __init__(self, order_type: str, ttl_ms: int | None):
+        self._order_type, self._ttl_ms = order_type, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._sums = handle.getValueState("sums", "origin bigint, split bigint", self._ttl_ms)
+        entry = f"orders array<{self._order_type}>, origins array<bigint>, splits array<bigint>"
+        self._sums = handle.getListState("sums", entry, self._ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        origin, split = self._sums.get() or (0, 0)
-        for line in _in_line_order(rows):
-            fields = line.asDict()
-            share = None
-            if None not in (line.sku_price, line.sku_num, line.final_total_amount,
-                            line.original_total_amount):
-                amount = _cents(line.sku_price) * line.sku_num
-                paid, whole = _cents(line.final_total_amount), _cents(line.original_total_amount)
-                origin += amount
-                if origin == whole:
-                    share = paid - split
-                elif whole:
-                    share = (2 * amount * paid + whole) // (2 * whole)
-                split += share or 0
-            fields[_SHARE] = None if share is None else share / 100
-            yield Row(**fields)
-        self._sums.update((origin, split))
+        orders: dict[object, list[Row]] = {}
+        for line in rows:
+            orders.setdefault(line.order_id, []).append(line)
+        held, sums = 0, {}
+        for known, origins, splits in self._sums.get():
+            sums.update(zip(known, zip(origins, splits)))
+            held += len(known)
+        now = {}
+        names = [n for n in next(iter(orders.values()))[0].__fields__ if n != _BUCKET]
+        place, made = names.index(_SHARE), Row(*names)
+        for order, lines in orders.items():
+            origin, split = sums.get(order, (0, 0))
+            for line in _in_line_order(lines):
+                share = None
+                if None not in (line.sku_price, line.sku_num, line.final_total_amount,
+                                line.original_total_amount):
+                    amount = _cents(line.sku_price) * line.sku_num
+                    paid, whole = _cents(line.final_total_amount), _cents(line.original_total_amount)
+                    origin += amount
+                    if origin == whole:
+                        share = paid - split
+                    elif whole:
+                        share = (2 * amount * paid + whole) // (2 * whole)
+                    split += share or 0
+                values = [line[n] for n in names]
+                values[place] = None if share is None else share / 100
+                yield made(*values)
+            now[order] = (origin, split)
+        everything = sums | now
+        # What expires is written once; else an entry takes the place of all when half is replaced.
+        if self._ttl_ms is None and held + len(now) > 2 * len(everything):
+            self._sums.put([_entry(everything)])
+        else:
+            self._sums.appendList([_entry(now)])
 
     def close(self) -> None:
         pass
@@ -73,12 +103,15 @@ def allocate_stream(wide: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     and all shares are by ratio. With ``ttl_ms`` the sums of an order are
     forgotten that long after its last line.
 
-    A task holds the lines that one order has in one micro-batch, to sort them.
-    Where an order may bring more than fits, use ``allocate_batch``, the default
-    of the jobs: it has the same rule and no such group.
+    Orders meet the state in buckets by their id. A task holds the lines that one
+    bucket has in one micro-batch, to sort them by order. Where an order may bring
+    more than fits, use ``allocate_batch``, the default of the jobs: it has the same
+    rule and no such group.
     """
-    return wide.groupBy("order_id").transformWithState(
-        statefulProcessor=_Allocation(ttl_ms),
+    bucket = F.pmod(F.xxhash64("order_id"), F.lit(ORDER_BUCKETS)).cast("int")
+    order_type = wide.schema["order_id"].dataType.simpleString()
+    return wide.withColumn(_BUCKET, bucket).groupBy(_BUCKET).transformWithState(
+        statefulProcessor=_Allocation(order_type, ttl_ms),
         outputStructType=wide.schema,
         outputMode="Append",
         timeMode="ProcessingTime" if ttl_ms else "None",
