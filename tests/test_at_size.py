@@ -210,3 +210,10 @@ def test_the_chain_leaves_no_rows_of_both_feeds_in_the_state_store(spark, tables
     monkeypatch.setattr(run, "start_append", lambda *args, **named: queries.append(start(*args, **named)) or queries[-1])
     assert QUERIES["order_split_amount_stream"](spark, tables).count() == 2 * DAYS
     assert {state["operatorName"] for at in queries[0].recentProgress for state in at["stateOperators"]} == {"transformWithStateInPySparkExec"}
+
+
+def test_full_outer_runs_no_batch_without_data(spark, tables, started):
+    """Eight parts and two closing commits, each a batch: none before the first part, none that only searches the state."""
+    assert QUERIES["sale_full_outer_stream"](spark, tables).count() == 2 * DAYS
+    batches = {at["batchId"]: at["numInputRows"] for at in started[0].recentProgress if "addBatch" in at["durationMs"]}
+    assert sorted(batches) == list(range(10)) and all(batches.values())

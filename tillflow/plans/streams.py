@@ -116,8 +116,11 @@ class _Turns:
 
     @contextmanager
     def running(self, rows):
-        """The stream ``rows`` makes, running until the end of the block: its state stays open between parts."""
-        query = start_append(rows, f"{self.folder}/rows", f"{self.folder}/checkpoint", every=_POLL)
+        """The stream ``rows`` makes, running until the end of the block: its state stays open between parts.
+
+        What the watermark lets out comes with the next part, so the state is searched once a part.
+        """
+        query = start_append(rows, f"{self.folder}/rows", f"{self.folder}/checkpoint", every=_POLL, trailing=False)
         try:
             yield query
         finally:
@@ -384,7 +387,7 @@ def sale_full_outer_stream(spark, sf_dir):
     """Pairs, and rows of either side that met none, which come out when their time is over.
 
     Both feeds come in parts by time, both parts in one commit, to one stream that runs
-    through. The closing records let out the rest.
+    through. The closing records move the watermark, and let out the rest when they come again.
     """
     o = orders.add_order_dates(a.order_info(a.table(spark, sf_dir, "orders")))
     l = a.with_sku_name(a.order_detail(a.table(spark, sf_dir, "lineitem")))
@@ -396,9 +399,16 @@ def sale_full_outer_stream(spark, sf_dir):
     )
     end = END_OF_INPUT.strftime("%Y-%m-%d %H:%M:%S")
     ends = [_end(spark, rows.schema, create_time=end) for rows, _ in feeds.values()]
+
+    def commit(parts):
+        turns.commit_all([(topic, part.drop(_AT), key) for (topic, (_, key)), part in zip(feeds.items(), parts, strict=True)])
+
+    first, *others = [*zip(*[_between(rows, _AT, cuts) for rows in timed], strict=True), ends, ends]
+    commit(first)  # a stream that meets no message yet would open all of its state for nothing
     with turns.running(joined) as query:
-        for parts in [*zip(*[_between(rows, _AT, cuts) for rows in timed], strict=True), ends]:
-            turns.commit_all([(topic, part.drop(_AT), key) for (topic, (_, key)), part in zip(feeds.items(), parts, strict=True)])
+        query.processAllAvailable()
+        for parts in others:
+            commit(parts)
             query.processAllAvailable()
     return turns.rows(joined)
 
