@@ -106,14 +106,19 @@ def allocate(
     return allocate_in_windows(few).unionByName(allocate_by_sums(many))
 
 
-def paid_lines(orders: DataFrame, lines: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def paid_lines(
+    orders: DataFrame, lines: DataFrame, hot_rows: int = HOT_ROWS, hot: DataFrame | None = None
+) -> DataFrame:
     """Join and allocation in one plan: wide records with their share of the paid amount.
 
     The lines are split before the join. Ordinary orders are joined and
     allocated on one shuffle by order id; hot orders are few by construction
-    and are broadcast to their lines, which are never dealt by order.
+    and are broadcast to their lines, which are never dealt by order. A given ``hot``
+    is looked up at once: without hot orders the plan has no branch for them.
     """
-    hot = hot_keys(lines, [_ORDER], hot_rows)
+    if hot is not None and hot.isEmpty():
+        return allocate_in_windows(join_lines(orders, lines))
+    hot = hot_keys(lines, [_ORDER], hot_rows) if hot is None else hot
     few, many = split_hot(lines, hot, [_ORDER])
     hot_orders = orders.join(
         F.broadcast(hot.withColumnRenamed(_ORDER, "id")), "id", "left_semi"
